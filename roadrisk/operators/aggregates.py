@@ -164,13 +164,13 @@ def crosstab_long(counts: DataFrame, rows: list[str], col: str, value: str = "n"
 def normalise_all(long: DataFrame, value: str = "n") -> DataFrame:
     """Each cell as % of the grand total (scalar subquery for the total)."""
     total = long.agg(F.sum(value)).scalar()
-    return long.withColumn("pct", F.round(F.col(value).cast("double") * 100.0 / total, 9))
+    return long.withColumn("pct", F.col(value).cast("double") * 100.0 / total)
 
 
 def normalise_rows(long: DataFrame, rows: list[str], value: str = "n") -> DataFrame:
     """Each cell as % of its row total (window over the bounded crosstab rows)."""
     total = F.sum(value).over(Window.partitionBy(*rows))
-    return long.withColumn("pct", F.round(F.col(value).cast("double") * 100.0 / total, 9))
+    return long.withColumn("pct", F.col(value).cast("double") * 100.0 / total)
 
 
 # --- profiles and reconciliations --------------------------------------------------------
