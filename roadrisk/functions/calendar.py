@@ -36,22 +36,31 @@ def local_millis(epoch_ms: Column) -> Column:
     return epoch_ms.cast("long") + F.lit(UTC_OFFSET_HOURS * HOUR_MS)
 
 
+def _sql_array(values) -> str:
+    return "array(" + ", ".join("'" + v + "'" for v in values) + ")"
+
+
 def derive_calendar(df: DataFrame, ms_col: str = "FECHA_HORA_ACC", drop_source: bool = True) -> DataFrame:
     """epoch ms (UTC) -> local date, year, month (number, name), weekday (1=Mon, name),
-    day of month and hour."""
-    lm = local_millis(F.col(ms_col))
-    day = F.floor(lm / F.lit(DAY_MS)).cast("int")
-    d = F.date_from_unix_date(day)
-    out = df.withColumns({
-        "FECHA_ACC": d,
-        "ANO_OCURRENCIA_ACC": F.year(d),
-        "MES_NRO_OCURRENCIA_ACC": F.month(d),
-        "MES_OCURRENCIA_ACC": month_name(F.month(d)),
-        "DIA_NRO_OCURRENCIA_ACC": F.weekday(d) + 1,
-        "DIA_OCURRENCIA_ACC": day_name(F.weekday(d) + 1),
-        "DIA_MES_OCURRENCIA_ACC": F.dayofmonth(d),
-        "HORA_OCURRENCIA_ACC": F.floor(F.pmod(lm, F.lit(DAY_MS)) / F.lit(HOUR_MS)).cast("int"),
-    })
+    day of month and hour.
+
+    Two projections: the local date and hour first, then the parts read from the date, so
+    the epoch arithmetic is evaluated once per row.
+    """
+    lm = f"(`{ms_col}` + ({UTC_OFFSET_HOURS * HOUR_MS}L))"
+    out = df.selectExpr(
+        "*",
+        f"date_from_unix_date(CAST(floor({lm} / {DAY_MS}D) AS INT)) AS FECHA_ACC",
+        f"CAST(floor(pmod({lm}, {DAY_MS}L) / {HOUR_MS}D) AS INT) AS HORA_OCURRENCIA_ACC",
+    ).selectExpr(
+        "*",
+        "year(FECHA_ACC) AS ANO_OCURRENCIA_ACC",
+        f"element_at({_sql_array(MONTH_NAMES)}, month(FECHA_ACC)) AS MES_OCURRENCIA_ACC",
+        "month(FECHA_ACC) AS MES_NRO_OCURRENCIA_ACC",
+        f"element_at({_sql_array(DAY_NAMES)}, weekday(FECHA_ACC) + 1) AS DIA_OCURRENCIA_ACC",
+        "weekday(FECHA_ACC) + 1 AS DIA_NRO_OCURRENCIA_ACC",
+        "dayofmonth(FECHA_ACC) AS DIA_MES_OCURRENCIA_ACC",
+    )
     return out.drop(ms_col) if drop_source else out
 
 

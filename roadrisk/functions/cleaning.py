@@ -14,67 +14,78 @@ from roadrisk.schemas import (CAUSE_OTHER, CAUSE_OTHER_RAW, NO_INFO, NO_INFO_PAD
                               NOT_ESTABLISHED)
 
 
-def _geometry_names(df: DataFrame) -> DataFrame:
-    if "x" in df.columns:
-        df = df.withColumnsRenamed({"x": "LONGITUD", "y": "LATITUD"})
-    return df
+def _replace(df: DataFrame, exprs: dict[str, str], rename: dict[str, str] | None = None) -> DataFrame:
+    """One projection: listed columns replaced by SQL expressions, others kept (or renamed)."""
+    rename = rename or {}
+    cols = []
+    for c in df.columns:
+        if c in exprs:
+            cols.append(f"{exprs[c]} AS `{rename.get(c, c)}`")
+        else:
+            cols.append(f"`{c}` AS `{rename.get(c, c)}`" if c in rename else f"`{c}`")
+    return df.selectExpr(*cols)
 
 
-def _fill(df: DataFrame, values: dict) -> DataFrame:
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in values.items()})
+def _fill(values: dict) -> dict[str, str]:
+    return {c: f"coalesce(`{c}`, '{v}')" for c, v in values.items()}
+
+
+_GEOMETRY = {"x": "LONGITUD", "y": "LATITUD"}
 
 
 def clean_accidents(raw: DataFrame) -> DataFrame:
     """F1 + F2: calendar columns; CIV and PK_CALZADA null -> 0 as int."""
-    df = derive_calendar(_geometry_names(raw))
-    return df.withColumns({
-        "CIV": F.coalesce(F.col("CIV"), F.lit(0)).cast("int"),
-        "PK_CALZADA": F.coalesce(F.col("PK_CALZADA"), F.lit(0)).cast("int"),
-    })
+    df = _replace(raw, {"CIV": "CAST(coalesce(CIV, 0) AS INT)",
+                        "PK_CALZADA": "CAST(coalesce(PK_CALZADA, 0) AS INT)"}, _GEOMETRY)
+    return derive_calendar(df)
 
 
 def clean_injured(raw: DataFrame) -> DataFrame:
     """F1 + F3: GENERO null -> SIN INFORMACION (EDAD is left as it is)."""
-    return _fill(derive_calendar(_geometry_names(raw)), {"GENERO": NO_INFO})
+    return derive_calendar(_replace(raw, _fill({"GENERO": NO_INFO}), _GEOMETRY))
 
 
 def clean_killed(raw: DataFrame) -> DataFrame:
     """F1 + F4: F3 plus MUERTE_POSTERIOR null -> 'N'; death date as a timestamp."""
-    df = _fill(derive_calendar(_geometry_names(raw)), {"GENERO": NO_INFO, "MUERTE_POSTERIOR": "N"})
-    return df.withColumn("FECHA_POSTERIOR_MUERTE",
-                         F.timestamp_millis(F.col("FECHA_POSTERIOR_MUERTE").cast("long")))
+    exprs = _fill({"GENERO": NO_INFO, "MUERTE_POSTERIOR": "N"})
+    exprs["FECHA_POSTERIOR_MUERTE"] = "timestamp_millis(CAST(FECHA_POSTERIOR_MUERTE AS BIGINT))"
+    return derive_calendar(_replace(raw, exprs, _GEOMETRY))
+
+
+FINAL_STATE_SQL = ("CASE WHEN ESTADO = 'MUERTO' OR MUERTE_POSTERIOR = 'S' THEN 'MUERTO' "
+                   "ELSE ESTADO END")
 
 
 def final_state():
     """MUERTO when ESTADO = MUERTO or MUERTE_POSTERIOR = 'S', else ESTADO.
-    A null comparison falls to the ``otherwise`` branch."""
-    return (F.when((F.col("ESTADO") == "MUERTO") | (F.col("MUERTE_POSTERIOR") == "S"), F.lit("MUERTO"))
-            .otherwise(F.col("ESTADO")))
+    A null comparison falls to the ``ELSE`` branch."""
+    return F.expr(FINAL_STATE_SQL)
 
 
 def clean_actors(raw: DataFrame) -> DataFrame:
     """F5 + F6."""
-    df = _fill(raw, {"GENERO": NO_INFO, "CONDICION": NO_INFO, "ESTADO": "ILESO"})
-    df = df.withColumn("CODIGO_VEHICULO", F.coalesce(F.col("CODIGO_VEHICULO"), F.lit(0)).cast("int"))
-    df = df.withColumn("FECHA_POSTERIOR_MUERTE",
-                       F.timestamp_millis(F.col("FECHA_POSTERIOR_MUERTE").cast("long")))
-    return df.withColumn("ESTADO_FINAL", final_state())
+    exprs = _fill({"GENERO": NO_INFO, "CONDICION": NO_INFO, "ESTADO": "ILESO"})
+    exprs["CODIGO_VEHICULO"] = "CAST(coalesce(CODIGO_VEHICULO, 0) AS INT)"
+    exprs["FECHA_POSTERIOR_MUERTE"] = "timestamp_millis(CAST(FECHA_POSTERIOR_MUERTE AS BIGINT))"
+    return _replace(raw, exprs).selectExpr("*", f"{FINAL_STATE_SQL} AS ESTADO_FINAL")
 
 
 def clean_vehicles(raw: DataFrame) -> DataFrame:
     """CODIGO_VEHICULO null -> 1; CLASE/SERVICIO/MODALIDAD null -> SIN INFORMACION;
     the padded ' SIN INFORMACION' is trimmed."""
-    df = raw.withColumn("CODIGO_VEHICULO", F.coalesce(F.col("CODIGO_VEHICULO"), F.lit(1)).cast("int"))
-    df = _fill(df, {"CLASE": NO_INFO, "SERVICIO": NO_INFO, "MODALIDAD": NO_INFO})
-    return df.withColumn("SERVICIO", F.when(F.col("SERVICIO") == NO_INFO_PADDED, F.lit(NO_INFO))
-                         .otherwise(F.col("SERVICIO")))
+    exprs = _fill({"CLASE": NO_INFO, "MODALIDAD": NO_INFO})
+    exprs["CODIGO_VEHICULO"] = "CAST(coalesce(CODIGO_VEHICULO, 1) AS INT)"
+    exprs["SERVICIO"] = (f"CASE WHEN coalesce(SERVICIO, '{NO_INFO}') = '{NO_INFO_PADDED}' THEN '{NO_INFO}' "
+                         f"ELSE coalesce(SERVICIO, '{NO_INFO}') END")
+    return _replace(raw, exprs)
 
 
 def clean_causes(raw: DataFrame) -> DataFrame:
     """F8: string nulls -> SIN ESTABLECER; NOMBRE 'OTRAS' -> 'OTRA'."""
-    df = _fill(raw, {c: NOT_ESTABLISHED for c in ("CODIGO_CAUSA", "NOMBRE", "TIPO", "TIPO_CAUSA")})
-    return df.withColumn("NOMBRE", F.when(F.col("NOMBRE") == CAUSE_OTHER_RAW, F.lit(CAUSE_OTHER))
-                         .otherwise(F.col("NOMBRE")))
+    exprs = _fill({c: NOT_ESTABLISHED for c in ("CODIGO_CAUSA", "TIPO", "TIPO_CAUSA")})
+    exprs["NOMBRE"] = (f"CASE WHEN coalesce(NOMBRE, '{NOT_ESTABLISHED}') = '{CAUSE_OTHER_RAW}' "
+                       f"THEN '{CAUSE_OTHER}' ELSE coalesce(NOMBRE, '{NOT_ESTABLISHED}') END")
+    return _replace(raw, exprs)
 
 
 CLEANERS = {

@@ -35,56 +35,52 @@ DAY_MS = 86_400_000
 HOUR_MS = 3_600_000
 
 
-def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
+_READERS: dict[tuple[int, str], DataFrame] = {}
 
-def _case(key: Column, mapping: dict, default=None) -> Column:
-    out = None
-    for k, v in mapping.items():
-        out = (F.when(key == F.lit(k), F.lit(v)) if out is None
-               else out.when(key == F.lit(k), F.lit(v)))
-    return out.otherwise(F.lit(default))
-
-
-def formulario(key: Column) -> Column:
-    """Accident form id: 'A' + key zero-padded to at least 9 digits (never truncated)."""
-    s = key.cast("string")
-    return F.concat(F.lit("A"), F.when(F.length(s) >= 9, s).otherwise(F.lpad(s, 9, "0")))
 
+def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Reader of one driver table. The inputs are read-only, so one reader per session and
+    path is reused (file listing and footer reads happen once, not once per query)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _READERS:
+        _READERS[key] = spark.read.parquet(path)
+    return _READERS[key]
 
-def _epoch_ms(ts: Column, extra_hours: Column) -> Column:
-    """Epoch milliseconds of a wall-clock timestamp read as UTC, plus whole hours.
 
-    Built from the calendar day and the time of day so that it does not depend on the
-    session time zone.
-    """
-    day = F.unix_date(F.to_date(ts)).cast("long")
-    tod = (F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)).cast("long")
-    return day * DAY_MS + tod * 1000 + extra_hours.cast("long") * HOUR_MS
+def _q(v: str) -> str:
+    return "'" + v.replace("'", "''") + "'"
 
 
-def _accident_time(orderkey: Column, orderdate: Column) -> Column:
-    return _epoch_ms(orderdate, (orderkey * 7) % 24 + 5)
+def sql_case(key: str, mapping: dict) -> str:
+    """``CASE key WHEN k THEN v .. END`` (unmatched -> NULL)."""
+    return "CASE " + key + " " + " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in mapping.items()) + " END"
 
 
-def _geometry(custkey: Column):
-    return [(F.lit(-74.0) - (custkey % 100) / 1000.0).alias("x"),
-            (F.lit(4.5) + (custkey % 70) / 1000.0).alias("y")]
+def sql_array(values) -> str:
+    return "array(" + ", ".join(_q(v) for v in values) + ")"
 
 
-def _condition(suppkey: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(c) for c in CONDITION_BY_MOD5]),
-                        (suppkey % 5).cast("int") + 1)
+def formulario_sql(key: str) -> str:
+    """Accident form id: 'A' + key zero-padded to at least 9 digits (never truncated)."""
+    s = f"CAST({key} AS STRING)"
+    return f"concat('A', CASE WHEN length({s}) >= 9 THEN {s} ELSE lpad({s}, 9, '0') END)"
 
 
-def _gender(partkey: Column) -> Column:
-    return (F.when(partkey % 11 == 0, F.lit(None).cast("string"))
-            .when(partkey % 2 == 0, F.lit("FEMENINO")).otherwise(F.lit("MASCULINO")))
+def accident_time_sql(orderkey: str = "o_orderkey", orderdate: str = "o_orderdate") -> str:
+    """Epoch ms of (order date + ((key*7) % 24 + 5) hours), built from the calendar day and
+    time of day so that it does not depend on the session time zone."""
+    return (f"CAST(unix_date(to_date({orderdate})) AS BIGINT) * {DAY_MS}L"
+            f" + CAST(hour({orderdate}) * 3600 + minute({orderdate}) * 60 + second({orderdate}) AS BIGINT) * 1000L"
+            f" + CAST(({orderkey} * 7) % 24 + 5 AS BIGINT) * {HOUR_MS}L")
 
 
-def _age(partkey: Column) -> Column:
-    return F.when(partkey % 29 == 0, F.lit(None).cast("int")).otherwise((partkey % 90).cast("int"))
+GEOMETRY_SQL = ["-74.0D - (o_custkey % 100) / 1000.0D AS x", "4.5D + (o_custkey % 70) / 1000.0D AS y"]
+CLASE_ACC_SQL = sql_case("substring(o_orderpriority, 1, 1)", ACCIDENT_CLASS)
+CONDITION_SQL = f"element_at({sql_array(CONDITION_BY_MOD5)}, CAST(l_suppkey % 5 AS INT) + 1)"
+GENDER_SQL = ("CASE WHEN l_partkey % 11 = 0 THEN CAST(NULL AS STRING) "
+              "WHEN l_partkey % 2 = 0 THEN 'FEMENINO' ELSE 'MASCULINO' END")
+AGE_SQL = "CAST(CASE WHEN l_partkey % 29 = 0 THEN NULL ELSE l_partkey % 90 END AS INT)"
 
 
 def accidents_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,138 +90,112 @@ def accidents_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     # nation is a fixed 25-row dimension: a proven size bound, safe to broadcast.
     n = F.broadcast(_read(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
     loc = c.join(n, c.c_nationkey == n.n_nationkey, "left").select("c_custkey", "n_name")
-    k = F.col("o_orderkey")
-    return (o.join(loc, o.o_custkey == loc.c_custkey, "left")
-            .select(
-                k.alias("OBJECTID"),
-                formulario(k).alias("FORMULARIO"),
-                F.col("n_name").alias("LOCALIDAD"),
-                F.when(k % 97 == 0, F.lit(None)).otherwise(F.col("o_custkey")).cast("int").alias("CIV"),
-                F.when(k % 13 == 0, F.lit(None)).otherwise(k % 50).cast("int").alias("PK_CALZADA"),
-                _case(F.substring("o_orderpriority", 1, 1), ACCIDENT_CLASS).alias("CLASE_ACC"),
-                _case(F.col("o_orderstatus"), SEVERITY_BY_STATUS).alias("GRAVEDAD"),
-                _accident_time(k, F.col("o_orderdate")).alias("FECHA_HORA_ACC"),
-                *_geometry(F.col("o_custkey")),
-            ))
-
-
-def _persons(spark: SparkSession, sf_dir: str, flag_filter, status_filter) -> DataFrame:
+    return o.join(loc, o.o_custkey == loc.c_custkey, "left").selectExpr(
+        "o_orderkey AS OBJECTID",
+        f"{formulario_sql('o_orderkey')} AS FORMULARIO",
+        "n_name AS LOCALIDAD",
+        "CAST(CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE o_custkey END AS INT) AS CIV",
+        "CAST(CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_orderkey % 50 END AS INT) AS PK_CALZADA",
+        f"{CLASE_ACC_SQL} AS CLASE_ACC",
+        f"{sql_case('o_orderstatus', SEVERITY_BY_STATUS)} AS GRAVEDAD",
+        f"{accident_time_sql()} AS FECHA_HORA_ACC",
+        *GEOMETRY_SQL)
+
+
+def _persons(spark: SparkSession, sf_dir: str, line_filter: str, order_filter: str) -> DataFrame:
     li = _read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag")
     o = _read(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
-    return li.filter(flag_filter).join(o.filter(status_filter), li.l_orderkey == o.o_orderkey)
+    return li.filter(line_filter).join(o.filter(order_filter), li.l_orderkey == o.o_orderkey)
 
 
-def _person_columns():
-    k = F.col("l_orderkey")
-    pk = F.col("l_partkey")
-    return [
-        (k * 8 + F.col("l_linenumber")).alias("OBJECTID"),
-        formulario(k).alias("FORMULARIO"),
-        F.lit(None).cast("string").alias("LOCALIDAD"),
-        _case(F.substring("o_orderpriority", 1, 1), ACCIDENT_CLASS).alias("CLASE_ACC"),
-        _condition(F.col("l_suppkey")).alias("CONDICION"),
-        _gender(pk).alias("GENERO"),
-        _age(pk).alias("EDAD"),
-    ]
+PERSON_SQL = [
+    "l_orderkey * 8 + l_linenumber AS OBJECTID",
+    f"{formulario_sql('l_orderkey')} AS FORMULARIO",
+    "CAST(NULL AS STRING) AS LOCALIDAD",
+    f"{CLASE_ACC_SQL} AS CLASE_ACC",
+    f"{CONDITION_SQL} AS CONDICION",
+    f"{GENDER_SQL} AS GENERO",
+    f"{AGE_SQL} AS EDAD",
+]
 
 
 def injured_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    j = _persons(spark, sf_dir, F.col("l_returnflag") == "R",
-                 F.col("o_orderstatus").isin("F", "O"))
-    return j.select(*_person_columns(),
-                    _accident_time(F.col("o_orderkey"), F.col("o_orderdate")).alias("FECHA_HORA_ACC"),
-                    *_geometry(F.col("o_custkey")))
+    j = _persons(spark, sf_dir, "l_returnflag = 'R'", "o_orderstatus IN ('F', 'O')")
+    return j.selectExpr(*PERSON_SQL, f"{accident_time_sql()} AS FECHA_HORA_ACC", *GEOMETRY_SQL)
 
 
 def killed_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    q, st = F.col("l_quantity"), F.col("o_orderstatus")
-    li_pred = (F.col("l_returnflag") == "A") & (q >= 49)
-    j = _persons(spark, sf_dir, li_pred, st.isin("F", "O"))
-    j = j.filter(((q >= 49) & (st == "F")) | ((q == 50) & (F.col("l_suppkey") % 10 == 0) & (st == "O")))
-    pk = F.col("l_partkey")
-    return j.select(
-        *_person_columns(),
-        F.when(pk % 3 == 0, F.lit("S")).when(pk % 3 == 1, F.lit("N"))
-         .otherwise(F.lit(None).cast("string")).alias("MUERTE_POSTERIOR"),
-        F.lit(None).cast("long").alias("FECHA_POSTERIOR_MUERTE"),
-        _accident_time(F.col("o_orderkey"), F.col("o_orderdate")).alias("FECHA_HORA_ACC"),
-        *_geometry(F.col("o_custkey")))
+    j = _persons(spark, sf_dir, "l_returnflag = 'A' AND l_quantity >= 49", "o_orderstatus IN ('F', 'O')")
+    j = j.filter("(l_quantity >= 49 AND o_orderstatus = 'F') OR "
+                 "(l_quantity = 50 AND l_suppkey % 10 = 0 AND o_orderstatus = 'O')")
+    return j.selectExpr(
+        *PERSON_SQL,
+        "CASE l_partkey % 3 WHEN 0 THEN 'S' WHEN 1 THEN 'N' END AS MUERTE_POSTERIOR",
+        "CAST(NULL AS BIGINT) AS FECHA_POSTERIOR_MUERTE",
+        f"{accident_time_sql()} AS FECHA_HORA_ACC", *GEOMETRY_SQL)
 
 
 def vehicles_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag")
     p = _read(spark, sf_dir, "part").select("p_partkey", "p_type")
-    j = li.join(p, li.l_partkey == p.p_partkey, "left")
-    pk, sk = F.col("l_partkey"), F.col("l_suppkey")
-    ptype = F.split(F.col("p_type"), " ").getItem(0)
-    return j.select(
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("OBJECTID"),
-        formulario(F.col("l_orderkey")).alias("FORMULARIO"),
-        F.when(pk % 31 == 0, F.lit(None)).otherwise(F.col("l_linenumber")).cast("int").alias("CODIGO_VEHICULO"),
-        _case(ptype, VEHICLE_CLASS_BY_TYPE).alias("CLASE"),
-        F.when(sk % 19 == 0, F.lit(None).cast("string"))
-         .otherwise(_case(F.col("l_returnflag"), SERVICE_BY_FLAG)).alias("SERVICIO"),
-        F.when(sk % 7 == 0, F.lit("URBANO")).otherwise(F.lit(None).cast("string")).alias("MODALIDAD"),
-        F.when(pk % 101 == 0, F.lit(None).cast("string")).otherwise(F.lit("N")).alias("ENFUGA"),
-    )
+    return li.join(p, li.l_partkey == p.p_partkey, "left").selectExpr(
+        "l_orderkey * 8 + l_linenumber AS OBJECTID",
+        f"{formulario_sql('l_orderkey')} AS FORMULARIO",
+        "CAST(CASE WHEN l_partkey % 31 = 0 THEN NULL ELSE l_linenumber END AS INT) AS CODIGO_VEHICULO",
+        f"{sql_case('split(p_type, chr(32))[0]', VEHICLE_CLASS_BY_TYPE)} AS CLASE",
+        f"CASE WHEN l_suppkey % 19 = 0 THEN CAST(NULL AS STRING) "
+        f"ELSE {sql_case('l_returnflag', SERVICE_BY_FLAG)} END AS SERVICIO",
+        "CASE WHEN l_suppkey % 7 = 0 THEN 'URBANO' END AS MODALIDAD",
+        "CASE WHEN l_partkey % 101 = 0 THEN CAST(NULL AS STRING) ELSE 'N' END AS ENFUGA")
 
 
 def actors_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag")
-    pk, ln = F.col("l_partkey"), F.col("l_linenumber")
-    cond = F.when(pk % 23 == 0, F.lit(None).cast("string")).otherwise(_condition(F.col("l_suppkey")))
-    flag = F.col("l_returnflag")
-    estado = (F.when(pk % 17 == 0, F.lit(None).cast("string"))
-              .when((flag == "A") & (F.col("l_quantity") >= 49), F.lit("MUERTO"))
-              .when(flag == "R", F.lit("HERIDO"))
-              .otherwise(F.lit("ILESO")))
-    return li.select(
-        (F.col("l_orderkey") * 8 + ln).alias("OBJECTID"),
-        formulario(F.col("l_orderkey")).alias("FORMULARIO"),
-        ln.cast("int").alias("CODIGO_VICTIMA"),
-        F.when(cond.isNull() | cond.isin("PEATON", "PASAJERO"), F.lit(None))
-         .otherwise(ln).cast("int").alias("CODIGO_VEHICULO"),
-        cond.alias("CONDICION"),
-        _gender(pk).alias("GENERO"),
-        _age(pk).alias("EDAD"),
-        estado.alias("ESTADO"),
-        F.when(pk % 41 == 0, F.lit("S")).when(pk % 2 == 0, F.lit(None).cast("string"))
-         .otherwise(F.lit("N")).alias("MUERTE_POSTERIOR"),
-        F.lit(None).cast("long").alias("FECHA_POSTERIOR_MUERTE"),
-    )
+    cond = f"CASE WHEN l_partkey % 23 = 0 THEN CAST(NULL AS STRING) ELSE {CONDITION_SQL} END"
+    return li.selectExpr("*", f"{cond} AS _cond").selectExpr(
+        "l_orderkey * 8 + l_linenumber AS OBJECTID",
+        f"{formulario_sql('l_orderkey')} AS FORMULARIO",
+        "CAST(l_linenumber AS INT) AS CODIGO_VICTIMA",
+        "CAST(CASE WHEN _cond IS NULL OR _cond IN ('PEATON', 'PASAJERO') THEN NULL "
+        "ELSE l_linenumber END AS INT) AS CODIGO_VEHICULO",
+        "_cond AS CONDICION",
+        f"{GENDER_SQL} AS GENERO",
+        f"{AGE_SQL} AS EDAD",
+        "CASE WHEN l_partkey % 17 = 0 THEN CAST(NULL AS STRING) "
+        "WHEN l_returnflag = 'A' AND l_quantity >= 49 THEN 'MUERTO' "
+        "WHEN l_returnflag = 'R' THEN 'HERIDO' ELSE 'ILESO' END AS ESTADO",
+        "CASE WHEN l_partkey % 41 = 0 THEN 'S' WHEN l_partkey % 2 = 0 THEN CAST(NULL AS STRING) "
+        "ELSE 'N' END AS MUERTE_POSTERIOR",
+        "CAST(NULL AS BIGINT) AS FECHA_POSTERIOR_MUERTE")
 
 
 def causes_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
-    pk = F.col("l_partkey")
-    code = (pk % 108).cast("string")
-    tipo = F.when(pk % 37 == 0, F.lit(None).cast("string")).otherwise(
-        F.element_at(F.array(*[F.lit(t) for t in CAUSE_TYPES]), (pk % 5).cast("int") + 1))
-    return li.select(
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("OBJECTID"),
-        formulario(F.col("l_orderkey")).alias("FORMULARIO"),
-        F.col("l_linenumber").cast("int").alias("CODIGO_VEHICULO"),
-        code.alias("CODIGO_CAUSA"),
-        F.when(code == "0", F.lit("OTRAS")).otherwise(F.concat(F.lit("CAUSA "), code)).alias("NOMBRE"),
-        tipo.alias("TIPO"),
-        _case(tipo, CAUSE_TYPE_NAMES).alias("TIPO_CAUSA"),
-    )
+    tipo = (f"CASE WHEN l_partkey % 37 = 0 THEN CAST(NULL AS STRING) "
+            f"ELSE element_at({sql_array(CAUSE_TYPES)}, CAST(l_partkey % 5 AS INT) + 1) END")
+    return li.selectExpr("*", "CAST(l_partkey % 108 AS STRING) AS _code", f"{tipo} AS _tipo").selectExpr(
+        "l_orderkey * 8 + l_linenumber AS OBJECTID",
+        f"{formulario_sql('l_orderkey')} AS FORMULARIO",
+        "CAST(l_linenumber AS INT) AS CODIGO_VEHICULO",
+        "_code AS CODIGO_CAUSA",
+        "CASE WHEN _code = '0' THEN 'OTRAS' ELSE concat('CAUSA ', _code) END AS NOMBRE",
+        "_tipo AS TIPO",
+        f"{sql_case('_tipo', CAUSE_TYPE_NAMES)} AS TIPO_CAUSA")
 
 
 def grid_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Corridor grid segments in file order: (pos, CIV, MVINOMBRE)."""
     c = _read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     n = F.broadcast(_read(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
-    ck = F.col("c_custkey")
-    return (c.join(n, c.c_nationkey == n.n_nationkey, "left")
-            .select(ck.alias("pos"),
-                    F.when(ck % 10 == 9, ck - 1).otherwise(ck).cast("int").alias("CIV"),
-                    F.when(ck % 17 == 3, F.lit(None).cast("string"))
-                     .otherwise(F.concat("c_mktsegment", F.lit(" "), "n_name")).alias("MVINOMBRE")))
+    return c.join(n, c.c_nationkey == n.n_nationkey, "left").selectExpr(
+        "c_custkey AS pos",
+        "CAST(CASE WHEN c_custkey % 10 = 9 THEN c_custkey - 1 ELSE c_custkey END AS INT) AS CIV",
+        "CASE WHEN c_custkey % 17 = 3 THEN CAST(NULL AS STRING) "
+        "ELSE concat(c_mktsegment, ' ', n_name) END AS MVINOMBRE")
 
 
 RAW_LAYERS = {
