@@ -166,7 +166,8 @@ def cao_init(df: DataFrame, cat_cols: list[str], k: int, order_keys: list[str])
     (mismatches(x, c) * density(x)). Ties go to the smallest ``order_keys``. Each round is
     one ``min_by`` aggregate; only the chosen row's values reach the driver.
     """
-    dens = cao_density(df, cat_cols)
+    from roadrisk.session import materialise
+    dens = materialise(cao_density(df, cat_cols))  # k rounds read it; bounded like ``df``
     order = [F.col(c) for c in order_keys]
     chosen: list[list] = []
     for j in range(k):

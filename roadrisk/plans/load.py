@@ -32,12 +32,19 @@ class IntegrityError(RuntimeError):
 
 
 def check_batch(tables: dict[str, DataFrame]) -> dict[str, int]:
-    """K1 on the accidents and K3 on every table; returns violation counts (one job each)."""
-    found = {"pk": pk_violations(tables["siniestros"].select("FORMULARIO")).count()}
+    """K1 on the accidents and K3 on every table, plus the row count of every table, all
+    evaluated together in one job; raises ``IntegrityError`` when anything is violated.
+    Returns {"pk": n, "length:<table>": n, "rows:<table>": n}."""
+    from functools import reduce
+    parts = [pk_violations(tables["siniestros"].select("FORMULARIO"))
+             .agg(F.count(F.lit(1)).alias("n")).select(F.lit("pk").alias("check"), "n")]
     for name, df in tables.items():
-        lv = length_violations(df, VARCHAR_LIMITS[name], name).agg(F.sum("violations")).collect()[0][0]
-        found[f"length:{name}"] = int(lv or 0)
-    bad = {k: v for k, v in found.items() if v}
+        parts.append(length_violations(df, VARCHAR_LIMITS[name], name)
+                     .agg(F.coalesce(F.sum("violations"), F.lit(0)).alias("n"))
+                     .select(F.lit(f"length:{name}").alias("check"), "n"))
+        parts.append(df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(f"rows:{name}").alias("check"), "n"))
+    found = {r.check: int(r.n) for r in reduce(DataFrame.unionByName, parts).collect()}
+    bad = {k: v for k, v in found.items() if v and not k.startswith("rows:")}
     if bad:
         raise IntegrityError(f"batch rejected: {bad}")
     return found
@@ -47,9 +54,12 @@ def write_store(tables: dict[str, DataFrame], store_dir: str, mode: str = "overw
     paths = {}
     for name, df in tables.items():
         path = f"{store_dir.rstrip('/')}/{name}"
-        w = df.write.mode(mode)
         if name == "siniestros":
-            w = w.partitionBy(*ACCIDENT_PARTITIONS)
+            # REBALANCE lets AQE group rows by (year, month) -- few files per partition --
+            # while still splitting a month that is too large for one task.
+            w = df.hint("rebalance", *ACCIDENT_PARTITIONS).write.mode(mode).partitionBy(*ACCIDENT_PARTITIONS)
+        else:
+            w = df.write.mode(mode)
         w.parquet(path)
         paths[name] = path
     return paths
@@ -76,8 +86,14 @@ def initial_load(spark: SparkSession, raw: dict[str, DataFrame], store_dir: str,
     tables = {"siniestros": CLEANERS["siniestros"](acc_raw)}
     for child in CHILD_TABLES:
         tables[child] = CLEANERS[child](keep_known(pages[child], acc_raw))
-    check_batch(tables)
-    return write_store(tables, store_dir)
+    # Parse the pages once: the cleaned batch is staged as Parquet, checked there, and the
+    # store is written from the stage only when every check passed.
+    stage = scratch_path(spark, "load-stage")
+    for name, df in tables.items():
+        stage_write(df, stage, name)
+    staged = {name: stage_read(spark, stage, name) for name in tables}
+    check_batch(staged)
+    return write_store(staged, store_dir)
 
 
 def incremental_append(spark: SparkSession, store_dir: str, accidents_raw: DataFrame,
@@ -87,7 +103,15 @@ def incremental_append(spark: SparkSession, store_dir: str, accidents_raw: DataF
     if today is not None:
         acc = previous_month_filter(acc, today)
     stored = read_store(spark, store_dir)
-    batch = {"siniestros": acc.join(stored["siniestros"].select("FORMULARIO"), "FORMULARIO", "left_anti")}
+    stored_acc = stored["siniestros"]
+    if today is not None:
+        # An accident's month never changes, so only the batch month's partition can hold
+        # its keys: the filter prunes the scan to one (year, month) directory.
+        from roadrisk.functions.calendar import previous_month
+        y, m, _ = previous_month(today)
+        stored_acc = stored_acc.filter((F.col("ANO_OCURRENCIA_ACC") == y)
+                                       & (F.col("MES_NRO_OCURRENCIA_ACC") == m))
+    batch = {"siniestros": acc.join(stored_acc.select("FORMULARIO"), "FORMULARIO", "left_anti")}
     month_keys = acc.select("FORMULARIO")
     for child in CHILD_TABLES:
         rows = CLEANERS[child](keep_known(children_raw[child], month_keys))
@@ -99,10 +123,10 @@ def incremental_append(spark: SparkSession, store_dir: str, accidents_raw: DataF
     for name, df in batch.items():
         stage_write(df, stage, name)
     staged = {name: stage_read(spark, stage, name) for name in batch}
-    check_batch(staged)
+    found = check_batch(staged)
     counts = {}
     for name in CHILD_TABLES + ["siniestros"]:
-        counts[name] = staged[name].count()
+        counts[name] = found[f"rows:{name}"]
         if counts[name]:
             append_table(staged[name], f"{store_dir.rstrip('/')}/{name}",
                          ACCIDENT_PARTITIONS if name == "siniestros" else None)

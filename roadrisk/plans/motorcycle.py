@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from roadrisk.operators import aggregates as A
 from roadrisk.operators.filters import rolling_window
 from roadrisk.schemas import MOTORCYCLE
+from roadrisk.session import materialise
 
 ROWS = ["GRAVEDAD", "CLASE_ACC"]
 
@@ -88,8 +89,14 @@ def motorcycle_counts(accidents, vehicles, end, years: int = 3) -> DataFrame:
 
 
 def motorcycle_crosstab(accidents, vehicles, end, years: int = 3, mode: str = "both") -> DataFrame:
-    """Long-form cross-tab with zero cells; ``pct_all`` (A11) and/or ``pct_row``."""
-    long = A.crosstab_long(motorcycle_counts(accidents, vehicles, end, years), ROWS, "CLASE_VEH")
+    """Long-form cross-tab with zero cells; ``pct_all`` (A11) and/or ``pct_row``.
+
+    The counts table is bounded by severities x accident types x vehicle classes; it is
+    materialised once so the pivot's value discovery, the grand total and the row totals
+    read it instead of re-running the joins over the vehicle table.
+    """
+    counts = materialise(motorcycle_counts(accidents, vehicles, end, years))
+    long = A.crosstab_long(counts, ROWS, "CLASE_VEH")
     if mode == "all":
         return A.normalise_all(long)
     if mode == "index":

@@ -17,7 +17,7 @@ from roadrisk.functions.scaling import minmax_scale
 from roadrisk.operators import kproto
 from roadrisk.operators.windows import priority_rank
 from roadrisk.schemas import CATEGORICAL_FEATURES, FEATURE_COLUMNS, NUMERIC_FEATURES
-from roadrisk.session import checkpoint_root
+from roadrisk.session import materialise  # noqa: F401 (re-exported)
 
 # ---------------------------------------------------------------------------------------
 # FIXED VALUES: the default scoring model (prototypes in min-max scaled space, as saved by
@@ -65,12 +65,6 @@ def predict_priorities(features: DataFrame, model: kproto.KPrototypesModel = DEF
     return priority_rank(out) if ranked else out
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Cut the lineage of a small intermediate with a reliable checkpoint."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def fit_model(features: DataFrame, k: int = 3, n_restarts: int = 50, max_iter: int = 100,
               seed: int = 0, gamma: float | None = None):
     """M6 on the feature table: scale, checkpoint once, fit all restarts together."""

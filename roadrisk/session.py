@@ -62,3 +62,10 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique directory path under the checkpoint root (never reused)."""
     return os.path.join(checkpoint_root(spark), "roadrisk", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialise(df):
+    """Cut the lineage of a small, bounded intermediate with a reliable checkpoint in the
+    shared checkpoint folder, so several later jobs read it instead of recomputing it."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -35,17 +35,17 @@ DAY_MS = 86_400_000
 HOUR_MS = 3_600_000
 
 
-_READERS: dict[tuple[int, str], DataFrame] = {}
+_READERS: dict[str, tuple[SparkSession, DataFrame]] = {}
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Reader of one driver table. The inputs are read-only, so one reader per session and
     path is reused (file listing and footer reads happen once, not once per query)."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    if key not in _READERS:
-        _READERS[key] = spark.read.parquet(path)
-    return _READERS[key]
+    hit = _READERS.get(path)
+    if hit is None or hit[0] is not spark:
+        _READERS[path] = (spark, spark.read.parquet(path))
+    return _READERS[path][1]
 
 
 def _q(v: str) -> str:

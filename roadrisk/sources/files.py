@@ -37,17 +37,16 @@ def land_pages(raw: DataFrame, path: str, layer: str, page_size: int = PAGE_SIZE
                mode: str = "overwrite") -> None:
     """Write a raw layer as feature-service pages (one JSON page per line).
 
-    Rows are spread over ceil(rows / page_size) pages by a hash of the row, so every page
-    holds about ``page_size`` features: each ``collect_list`` is bounded by the page size,
-    never by a key of the data.
+    A page holds the features of one OBJECTID range of ``page_size`` ids, the same id-range
+    chunking as the bulk extract (S4). OBJECTID is the service's feature id, so each
+    ``collect_list`` is bounded by the page size, never by a key of the data, and no
+    counting pass is needed.
     """
     attrs = [fld.name for fld in RAW_ATTRIBUTES[layer]]
-    rows = raw.count()
-    n_pages = max(1, -(-rows // page_size))
     feat = [F.struct(*[F.col(a) for a in attrs]).alias("attributes")]
     if layer in GEOMETRY_LAYERS:
         feat.append(F.struct(F.col("x"), F.col("y")).alias("geometry"))
-    page = F.pmod(F.xxhash64(*[F.col(a) for a in attrs]), F.lit(n_pages))
+    page = F.floor(F.col("OBJECTID") / F.lit(page_size))
     (raw.select(page.alias("page"), F.struct(*feat).alias("feature"))
      .groupBy("page").agg(F.collect_list("feature").alias("features"))
      .select("features").write.mode(mode).json(path))

@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
-ROWS_ONLY = {"M6_kproto_fit", "F16_yeo_johnson_transform"}
+ROWS_ONLY = {"M6_kproto_fit", "M8_predict_fitted", "F16_yeo_johnson_transform"}
 # Whole-suite oracle comparison runs in scripts/check_oracle.py at sf0.01; here a
 # representative, quick subset at sf0.001.
 SUBSET = ["M1_build_features", "A6_corridor_hour_totals", "J4_join_features", "A2_injured_counts",
