@@ -51,9 +51,16 @@ def duck():
     return con
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", SUBSET)
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
+    rel = duck.sql(E.oracle_sql()[name])
+    st = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString()) for f in df.schema.fields}
+    assert st == {c: str(t) for c, t in zip(rel.columns, rel.types)}
     s = _canon(df.columns, [tuple(r) for r in df.collect()])
     cur = duck.execute(E.oracle_sql()[name])
     d = _canon([c[0] for c in cur.description], cur.fetchall())
