@@ -13,7 +13,7 @@ No step collects a group or pairs vehicles within an accident.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadrisk.operators import aggregates as A
@@ -74,18 +74,26 @@ def motorcycle_vehicle_rows(accidents, vehicles, end, years: int = 3) -> DataFra
 
 
 def motorcycle_counts(accidents, vehicles, end, years: int = 3) -> DataFrame:
-    """Counts per (GRAVEDAD, CLASE_ACC, CLASE_VEH) of R1 + R2 without materialising rows."""
-    acc = motorcycle_accidents(accidents, vehicles, end, years)
-    others = (vehicles.filter(F.col("CLASE") != MOTORCYCLE)
-              .groupBy("FORMULARIO", F.col("CLASE").alias("CLASE_VEH"))
-              .agg(F.count(F.lit(1)).alias("n")))
-    r1 = acc.drop("n_moto").join(others, "FORMULARIO").select(*ROWS, "CLASE_VEH", "n")
-    r2 = (acc.filter(F.col("n_moto") > 1)
-          .select(*ROWS, F.lit(MOTORCYCLE).alias("CLASE_VEH"), F.col("n_moto").alias("n")))
-    both = r1.unionByName(r2)
-    both = both.filter(F.col("GRAVEDAD").isNotNull() & F.col("CLASE_ACC").isNotNull()
-                       & F.col("CLASE_VEH").isNotNull())
-    return both.groupBy(*ROWS, "CLASE_VEH").agg(F.sum("n").cast("long").alias("n"))
+    """Counts per (GRAVEDAD, CLASE_ACC, CLASE_VEH) of R1 + R2 in one pass over the vehicles.
+
+    Vehicles are counted per (accident, class) -- combined map-side, so a hot accident
+    costs one row per class and task. The motorcycle count of each accident is a window
+    over those rows (at most one per vehicle class). An accident's row then contributes:
+    every non-motorcycle class when it has a motorcycle (R1), and its motorcycles when it
+    has more than one (R2). Only these contributions meet the windowed accidents.
+    """
+    per_class = (vehicles.filter(F.col("CLASE").isNotNull())
+                 .groupBy("FORMULARIO", "CLASE").agg(F.count(F.lit(1)).alias("n")))
+    n_moto = F.sum(F.when(F.col("CLASE") == MOTORCYCLE, F.col("n")).otherwise(0)).over(
+        Window.partitionBy("FORMULARIO"))
+    contrib = (per_class.withColumn("n_moto", n_moto)
+               .filter(((F.col("CLASE") != MOTORCYCLE) & (F.col("n_moto") >= 1))
+                       | ((F.col("CLASE") == MOTORCYCLE) & (F.col("n") > 1))))
+    acc = _window_accidents(accidents, end, years).filter(
+        F.col("GRAVEDAD").isNotNull() & F.col("CLASE_ACC").isNotNull())
+    return (acc.join(contrib, "FORMULARIO")
+            .groupBy(*ROWS, F.col("CLASE").alias("CLASE_VEH"))
+            .agg(F.sum("n").cast("long").alias("n")))
 
 
 def motorcycle_crosstab(accidents, vehicles, end, years: int = 3, mode: str = "both") -> DataFrame:

@@ -64,8 +64,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_root(spark), "roadrisk", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def materialise(df):
-    """Cut the lineage of a small, bounded intermediate with a reliable checkpoint in the
-    shared checkpoint folder, so several later jobs read it instead of recomputing it."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialise(df, name: str = "stage"):
+    """Cut the lineage of a small, bounded intermediate by writing it as a Parquet table in
+    the shared checkpoint folder and reading it back.
+
+    One job computes the plan once (an eager RDD checkpoint of an unpersisted plan would
+    compute it twice: once for the action, once more to write the checkpoint). Later jobs
+    read the table instead of recomputing the plan, and a lost executor costs a re-read,
+    not a recomputation.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
