@@ -68,8 +68,11 @@ def predict_priorities(features: DataFrame, model: kproto.KPrototypesModel = DEF
 def fit_model(features: DataFrame, k: int = 3, n_restarts: int = 50, max_iter: int = 100,
               seed: int = 0, gamma: float | None = None):
     """M6 on the feature table: scale, checkpoint once, fit all restarts together."""
+    # Spread the (bounded) table over the cores: every iteration evaluates restarts x k
+    # distances per row, and a single input file would put all of it in one task.
+    par = features.sparkSession.sparkContext.defaultParallelism
     sc = materialise(scaled_features(features).select(
-        "MVINOMBRE", *CATEGORICAL_FEATURES, *SCALED.values()))
+        "MVINOMBRE", *CATEGORICAL_FEATURES, *SCALED.values()).repartition(par))
     best, summary = kproto.fit(sc, list(SCALED.values()), list(CATEGORICAL_FEATURES), k=k,
                                n_restarts=n_restarts, max_iter=max_iter, gamma=gamma, seed=seed,
                                order_keys=["MVINOMBRE", "HORARIO"])
