@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from roadrisk.functions.calendar import previous_month_filter
 from roadrisk.functions.cleaning import CLEANERS
-from roadrisk.operators.integrity import length_violations, pk_violations
+from roadrisk.operators.integrity import pk_violations
 from roadrisk.operators.joins import keep_known
 from roadrisk.schemas import ALL_TABLES, CHILD_TABLES, VARCHAR_LIMITS
 from roadrisk.session import scratch_path
@@ -39,10 +39,16 @@ def check_batch(tables: dict[str, DataFrame]) -> dict[str, int]:
     parts = [pk_violations(tables["siniestros"].select("FORMULARIO"))
              .agg(F.count(F.lit(1)).alias("n")).select(F.lit("pk").alias("check"), "n")]
     for name, df in tables.items():
-        parts.append(length_violations(df, VARCHAR_LIMITS[name], name)
-                     .agg(F.coalesce(F.sum("violations"), F.lit(0)).alias("n"))
-                     .select(F.lit(f"length:{name}").alias("check"), "n"))
-        parts.append(df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(f"rows:{name}").alias("check"), "n"))
+        # one scan per table: row count and the K3 violations of every limited column
+        viol = None
+        for c, n in VARCHAR_LIMITS[name].items():
+            v = F.count_if(F.length(c) > n)
+            viol = v if viol is None else viol + v
+        one = df.agg(F.count(F.lit(1)).alias("rows"), viol.alias("viol"))
+        parts.append(one.select(F.explode(F.array(
+            F.struct(F.lit(f"length:{name}").alias("check"), F.col("viol").alias("n")),
+            F.struct(F.lit(f"rows:{name}").alias("check"), F.col("rows").alias("n")))).alias("e"))
+            .select("e.check", "e.n"))
     found = {r.check: int(r.n) for r in reduce(DataFrame.unionByName, parts).collect()}
     bad = {k: v for k, v in found.items() if v and not k.startswith("rows:")}
     if bad:

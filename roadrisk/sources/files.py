@@ -47,7 +47,11 @@ def land_pages(raw: DataFrame, path: str, layer: str, page_size: int = PAGE_SIZE
     if layer in GEOMETRY_LAYERS:
         feat.append(F.struct(F.col("x"), F.col("y")).alias("geometry"))
     page = F.floor(F.col("OBJECTID") / F.lit(page_size))
+    # Rows are shuffled by page before the lists are built: a list never shrinks, so
+    # building it map-side would only move the work before the shuffle (into whatever few
+    # tasks read the input); pages are bounded, so the shuffle has no hot key.
     (raw.select(page.alias("page"), F.struct(*feat).alias("feature"))
+     .repartition("page")
      .groupBy("page").agg(F.collect_list("feature").alias("features"))
      .select("features").write.mode(mode).json(path))
 
