@@ -89,7 +89,12 @@ def accidents_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     # nation is a fixed 25-row dimension: a proven size bound, safe to broadcast.
     n = F.broadcast(_read(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
-    loc = c.join(n, c.c_nationkey == n.n_nationkey, "left").select("c_custkey", "n_name")
+    # One row per customer key, stated with a groupBy: a query that never reads LOCALIDAD
+    # then drops this left join altogether (Spark removes an outer join whose other side
+    # is unique on the key and unused); one that reads it shuffles customers once, the
+    # same exchange the join would need.
+    loc = (c.join(n, c.c_nationkey == n.n_nationkey, "left")
+           .groupBy("c_custkey").agg(F.max("n_name").alias("n_name")))
     return o.join(loc, o.o_custkey == loc.c_custkey, "left").selectExpr(
         "o_orderkey AS OBJECTID",
         f"{formulario_sql('o_orderkey')} AS FORMULARIO",
@@ -140,7 +145,8 @@ def killed_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def vehicles_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag")
-    p = _read(spark, sf_dir, "part").select("p_partkey", "p_type")
+    # One row per part key (see accidents_raw): queries that never read CLASE skip the join.
+    p = _read(spark, sf_dir, "part").groupBy("p_partkey").agg(F.max("p_type").alias("p_type"))
     return li.join(p, li.l_partkey == p.p_partkey, "left").selectExpr(
         "l_orderkey * 8 + l_linenumber AS OBJECTID",
         f"{formulario_sql('l_orderkey')} AS FORMULARIO",
