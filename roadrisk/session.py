@@ -1,8 +1,10 @@
 """Session and scratch-space helpers.
 
 Scratch tables (stages, appended tables, checkpoints) live under the shared folder the
-cluster names in ``spark.checkpoint.dir``. Only when that setting is absent (local runs,
-tests) do we create a folder of our own and register it as the checkpoint directory.
+cluster names in ``spark.checkpoint.dir``. Only when that setting is absent *and* the
+master is local (local runs, tests) do we create a folder of our own and register it as
+the checkpoint directory; on a cluster a missing setting is an error, never a
+machine-local folder.
 """
 
 from __future__ import annotations
@@ -54,6 +56,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: on a cluster, scratch tables need a "
+                           "folder every executor can reach (set spark.checkpoint.dir)")
     local = tempfile.mkdtemp(prefix="roadrisk-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir().rstrip("/")
