@@ -6,7 +6,10 @@ Runs the headline queries on ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) wi
 
 Each query is executed in full with a ``noop`` write (no driver collect), after a
 warm-up run of two queries on the smallest scale factor, so JVM start-up and JIT are not
-charged to the first timed query.
+charged to the first timed query. Each query runs ``BENCH_RUNS`` times (default 2) and
+the fastest run is reported: this machine's timings vary by 20-40% between runs. No data
+is cached between runs (every run re-reads the Parquet inputs and rewrites its
+intermediates); only plan objects are reused.
 """
 
 from __future__ import annotations
@@ -18,6 +21,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+RUNS = int(os.environ.get("BENCH_RUNS", "2"))
+
 HEADLINE = [
     "M1_build_features",          # flagship: corridor x time-block feature table
     "A6_corridor_hour_totals",    # single-pass per-hour totals
@@ -48,13 +53,21 @@ def main() -> None:
 
     timings = {}
     for name in HEADLINE:
-        t0 = time.perf_counter()
-        df = catalog.QUERIES[name](spark, sf_dir)
-        df.write.format("noop").mode("overwrite").save()
-        timings[name] = round(time.perf_counter() - t0, 3)
+        best = None
+        for _ in range(RUNS):
+            t0 = time.perf_counter()
+            df = catalog.QUERIES[name](spark, sf_dir)
+            df.write.format("noop").mode("overwrite").save()
+            t = time.perf_counter() - t0
+            best = t if best is None else min(best, t)
+        timings[name] = round(best, 3)
     sf = os.path.basename(sf_dir).replace("sf", "")
-    print(json.dumps({"metric": "total_sec", "value": round(sum(timings.values()), 3), "unit": "sec",
-                      "queries": timings, "sf": sf}))
+    try:
+        sf = float(sf)
+    except ValueError:
+        pass
+    print(json.dumps({"metric": f"total_sec_best_of_{RUNS}", "value": round(sum(timings.values()), 3),
+                      "unit": "sec", "queries": timings, "sf": sf}))
     spark.stop()
 
 
