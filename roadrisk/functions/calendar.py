@@ -18,24 +18,6 @@ DAY_MS = 86_400_000
 HOUR_MS = 3_600_000
 
 
-def _lit_array(values) -> Column:
-    return F.array(*[F.lit(v) for v in values])
-
-
-def month_name(month: Column) -> Column:
-    """1..12 -> Spanish upper-case month name."""
-    return F.element_at(_lit_array(MONTH_NAMES), month.cast("int"))
-
-
-def day_name(day_number: Column) -> Column:
-    """1 (Monday) .. 7 (Sunday) -> Spanish upper-case weekday name."""
-    return F.element_at(_lit_array(DAY_NAMES), day_number.cast("int"))
-
-
-def local_millis(epoch_ms: Column) -> Column:
-    return epoch_ms.cast("long") + F.lit(UTC_OFFSET_HOURS * HOUR_MS)
-
-
 def _sql_array(values) -> str:
     return "array(" + ", ".join("'" + v + "'" for v in values) + ")"
 

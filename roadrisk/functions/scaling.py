@@ -8,8 +8,6 @@ broadcasts as a value: no cross join, no driver round trip.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -129,7 +127,3 @@ def yeo_johnson_transform(df: DataFrame, params: DataFrame, cols=NUMERIC_FEATURE
         out = out.withColumns({c: F.when(mom[f"s_{c}"] == 0, F.lit(0.0)).otherwise(
             (F.col(c) - mom[f"m_{c}"]) / mom[f"s_{c}"]) for c in cols})
     return out
-
-
-def union_params(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from roadrisk.operators import aggregates as A
 from roadrisk.operators.filters import rolling_window
+from roadrisk.operators.windows import union_all
 from roadrisk.schemas import MOTORCYCLE
 from roadrisk.session import materialise
 
@@ -69,8 +70,8 @@ def motorcycle_vs_motorcycle(accidents, vehicles, end, years: int = 3) -> DataFr
 
 def motorcycle_vehicle_rows(accidents, vehicles, end, years: int = 3) -> DataFrame:
     """R1 UNION ALL R2 (bag semantics), the input of the cross-tabs."""
-    return other_vehicles(accidents, vehicles, end, years).unionByName(
-        motorcycle_vs_motorcycle(accidents, vehicles, end, years))
+    return union_all(other_vehicles(accidents, vehicles, end, years),
+                     motorcycle_vs_motorcycle(accidents, vehicles, end, years))
 
 
 def motorcycle_counts(accidents, vehicles, end, years: int = 3) -> DataFrame:

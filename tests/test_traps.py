@@ -98,6 +98,12 @@ def test_zero_death_corridor_dropped(spark):
     grid = spark.createDataFrame([(1, 7, "AV UNO"), (2, 8, "AV DOS")], "pos long, CIV int, MVINOMBRE string")
     rows = build_features_from(acc, inj, kil, grid, "2020-12-31").collect()
     assert [(r.MVINOMBRE, r.muertes, r.vulnerables) for r in rows] == [("AV DOS", 1, 0)]
+    # Window form and anti-join form agree
+    from roadrisk.operators.joins import drop_zero_death_corridors, drop_zero_death_corridors_anti
+    a6 = A.corridor_hour_totals(acc, inj, kil, grid, "2020-12-31")
+    w = sorted(map(tuple, drop_zero_death_corridors(a6).collect()))
+    assert w == sorted(map(tuple, drop_zero_death_corridors_anti(a6).select(*a6.columns).collect()))
+    assert [r[0] for r in w] == ["AV DOS"]
 
 
 def test_hour_block_and_severity(spark):
