@@ -3,7 +3,11 @@
 R4:  raw layers -> landed pages -> read (S1) -> children semi-joined to accidents (J5)
      -> cleaning (F1-F8) -> integrity checks (K1-K3) -> one write per table (S6).
 K5:  month of accidents (P8) + related child rows (J6) -> cleaning -> per table, only
-     keys the table does not hold yet (anti join) -> staged (S7) -> checks -> append.
+     keys the table does not hold yet (anti join on the batch months' partitions only)
+     -> staged (S7) -> checks -> append.
+
+Every stored table is partitioned by the accident (year, month); child rows carry their
+accident's month, so a monthly run reads one partition per table, not the whole store.
 
 The integrity checks run *before* any write and raise on a violation, so a bad batch
 leaves the store untouched. K5 is idempotent per table: re-running a month, or resuming
@@ -18,7 +22,6 @@ from pyspark.sql import functions as F
 from roadrisk.functions.calendar import previous_month_filter
 from roadrisk.functions.cleaning import CLEANERS
 from roadrisk.operators.integrity import pk_violations
-from roadrisk.operators.joins import keep_known
 from roadrisk.schemas import ALL_TABLES, CHILD_TABLES, VARCHAR_LIMITS
 from roadrisk.session import scratch_path
 from roadrisk.sources.files import (append_table, land_pages, read_feature_json, stage_read,
@@ -56,21 +59,40 @@ def check_batch(tables: dict[str, DataFrame]) -> dict[str, int]:
     return found
 
 
+def with_accident_month(child: DataFrame, accidents: DataFrame) -> DataFrame:
+    """Child rows of known accidents (J5/J6), tagged with their accident's (year, month).
+
+    An inner join with one row per accident key: the same rows as the semi join, plus the
+    two partition columns, so every stored table is partitioned by the accident month.
+    """
+    keys = accidents.select("FORMULARIO", *ACCIDENT_PARTITIONS)
+    base = child.drop(*[c for c in ACCIDENT_PARTITIONS if c in child.columns])
+    return base.join(keys, "FORMULARIO")
+
+
 def write_store(tables: dict[str, DataFrame], store_dir: str, mode: str = "overwrite") -> dict[str, str]:
+    """Write the tables partitioned by the accident (year, month).
+
+    REBALANCE lets AQE group rows by partition -- few files per month -- while still
+    splitting a month that is too large for one task.
+    """
     paths = {}
     for name, df in tables.items():
         path = f"{store_dir.rstrip('/')}/{name}"
-        if name == "siniestros":
-            # REBALANCE lets AQE group rows by (year, month) -- few files per partition --
-            # while still splitting a month that is too large for one task.
-            w = df.hint("rebalance", *ACCIDENT_PARTITIONS).write.mode(mode).partitionBy(*ACCIDENT_PARTITIONS)
-        else:
-            w = df.write.mode(mode)
-        w.parquet(path)
+        (df.hint("rebalance", *ACCIDENT_PARTITIONS).write.mode(mode)
+         .partitionBy(*ACCIDENT_PARTITIONS).parquet(path))
         paths[name] = path
     return paths
 
 
+def month_predicate(months: list[tuple[int, int]]):
+    """Partition filter for a set of (year, month) pairs."""
+    cond = F.lit(False)
+    for y, m in months:
+        cond = cond | ((F.col(ACCIDENT_PARTITIONS[0]) == y) & (F.col(ACCIDENT_PARTITIONS[1]) == m))
+    return cond
+
+
 def read_store(spark: SparkSession, store_dir: str) -> dict[str, DataFrame]:
     return {n: spark.read.parquet(f"{store_dir.rstrip('/')}/{n}") for n in ALL_TABLES}
 
@@ -91,7 +113,7 @@ def initial_load(spark: SparkSession, raw: dict[str, DataFrame], store_dir: str,
     acc_raw = pages["siniestros"]
     tables = {"siniestros": CLEANERS["siniestros"](acc_raw)}
     for child in CHILD_TABLES:
-        tables[child] = CLEANERS[child](keep_known(pages[child], acc_raw))
+        tables[child] = with_accident_month(CLEANERS[child](pages[child]), tables["siniestros"])
     # Parse the pages once: the cleaned batch is staged as Parquet, checked there, and the
     # store is written from the stage only when every check passed.
     stage = scratch_path(spark, "load-stage")
@@ -108,20 +130,18 @@ def incremental_append(spark: SparkSession, store_dir: str, accidents_raw: DataF
     acc = CLEANERS["siniestros"](accidents_raw)
     if today is not None:
         acc = previous_month_filter(acc, today)
+    # The calendar months present in the batch (one for a monthly run; a handful of rows
+    # at most). Every stored table is partitioned by the accident month and an accident's
+    # month never changes, so the key checks below read only these partitions.
+    months = [(r[0], r[1]) for r in acc.select(*ACCIDENT_PARTITIONS).distinct().collect()]
+    in_months = month_predicate(months)
     stored = read_store(spark, store_dir)
-    stored_acc = stored["siniestros"]
-    if today is not None:
-        # An accident's month never changes, so only the batch month's partition can hold
-        # its keys: the filter prunes the scan to one (year, month) directory.
-        from roadrisk.functions.calendar import previous_month
-        y, m, _ = previous_month(today)
-        stored_acc = stored_acc.filter((F.col("ANO_OCURRENCIA_ACC") == y)
-                                       & (F.col("MES_NRO_OCURRENCIA_ACC") == m))
-    batch = {"siniestros": acc.join(stored_acc.select("FORMULARIO"), "FORMULARIO", "left_anti")}
-    month_keys = acc.select("FORMULARIO")
+    batch = {"siniestros": acc.join(stored["siniestros"].filter(in_months).select("FORMULARIO"),
+                                    "FORMULARIO", "left_anti")}
     for child in CHILD_TABLES:
-        rows = CLEANERS[child](keep_known(children_raw[child], month_keys))
-        batch[child] = rows.join(stored[child].select("FORMULARIO").distinct(), "FORMULARIO", "left_anti")
+        rows = with_accident_month(CLEANERS[child](children_raw[child]), acc)
+        held = stored[child].filter(in_months).select("FORMULARIO").distinct()
+        batch[child] = rows.join(held, "FORMULARIO", "left_anti")
     # Stage the batch so the appends never read the tables they write. Stored keys were
     # anti-joined away, so a key violation can only come from inside the batch: the check
     # scans the staged month, not the whole store.
@@ -134,8 +154,7 @@ def incremental_append(spark: SparkSession, store_dir: str, accidents_raw: DataF
     for name in CHILD_TABLES + ["siniestros"]:
         counts[name] = found[f"rows:{name}"]
         if counts[name]:
-            append_table(staged[name], f"{store_dir.rstrip('/')}/{name}",
-                         ACCIDENT_PARTITIONS if name == "siniestros" else None)
+            append_table(staged[name], f"{store_dir.rstrip('/')}/{name}", ACCIDENT_PARTITIONS)
     return counts
 
 

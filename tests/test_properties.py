@@ -66,13 +66,12 @@ def test_rejected_batch_writes_nothing(spark, tables001, tmp_path):
 
 
 def test_monthly_append_is_idempotent(spark, tables001, tmp_path):
-    from roadrisk.operators.joins import keep_known
-    from roadrisk.plans.load import incremental_append, read_store, write_store
+    from roadrisk.plans.load import incremental_append, read_store, with_accident_month, write_store
     from roadrisk.schemas import CHILD_TABLES
     t = tables001
     store = str(tmp_path / "store")
     base = t.siniestros.filter(F.col("FECHA_ACC") <= F.lit(dt.date(2000, 11, 30)))
-    write_store({"siniestros": base, **{c: keep_known(t[c], base) for c in CHILD_TABLES}}, store)
+    write_store({"siniestros": base, **{c: with_accident_month(t[c], base) for c in CHILD_TABLES}}, store)
     children = {c: t.raw(c) for c in CHILD_TABLES}
     first = incremental_append(spark, store, t.raw("siniestros"), children, dt.date(2001, 1, 24))
     second = incremental_append(spark, store, t.raw("siniestros"), children, dt.date(2001, 1, 24))
@@ -86,14 +85,14 @@ def test_monthly_append_is_idempotent(spark, tables001, tmp_path):
 def test_monthly_stream_appends_landed_pages(spark, tables001, tmp_path):
     from roadrisk.functions.calendar import previous_month_filter
     from roadrisk.operators.joins import keep_known
-    from roadrisk.plans.load import read_store, write_store
+    from roadrisk.plans.load import read_store, with_accident_month, write_store
     from roadrisk.schemas import CHILD_TABLES
     from roadrisk.sources.files import land_pages
     from roadrisk.streaming.monthly import start_monthly_stream
     t = tables001
     store = str(tmp_path / "store")
     base = t.siniestros.filter(F.col("FECHA_ACC") <= F.lit(dt.date(2000, 11, 30)))
-    write_store({"siniestros": base, **{c: keep_known(t[c], base) for c in CHILD_TABLES}}, store)
+    write_store({"siniestros": base, **{c: with_accident_month(t[c], base) for c in CHILD_TABLES}}, store)
     month = previous_month_filter(t.siniestros, dt.date(2001, 1, 24)).select("FORMULARIO")
     raw_month = keep_known(t.raw("siniestros"), month)
     land_pages(raw_month, str(tmp_path / "landing" / "siniestros"), "siniestros", page_size=10)
