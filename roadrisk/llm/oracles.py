@@ -30,4 +30,27 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hit USING (r) LEFT JOIN it USING (r)""",
+    "op7_quality_rules": r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w,
+             list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines FROM d),
+g AS (SELECT r, unnest(range(1, len(w) - 1)) AS p,
+             unnest(list_transform(range(1, len(w) - 1), lambda i: list_slice(w, i, i + 2))) AS g FROM w WHERE len(w) > 3),
+dup AS (SELECT r, p FROM (SELECT r, p, count(*) OVER (PARTITION BY r, g) AS n FROM g) WHERE n > 1),
+rep AS (SELECT r, count(DISTINCT x) AS n FROM (SELECT r, unnest([p, p + 1, p + 2]) AS x FROM dup) GROUP BY r),
+m AS (SELECT doc_id, text, CAST(len(w) AS BIGINT) AS n_words,
+             CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+             CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+             CAST(len(lines) AS BIGINT) AS n_lines,
+             CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+             CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words
+      FROM w LEFT JOIN rep USING (r)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR 10 * n_symbols > 3 * n_words OR 2 * n_dup_lines > n_lines
+            OR 2 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > word_chars
+            OR 2 * length(regexp_replace(text, '[^!]', '', 'g')) > n_words
+            OR 2 * length(regexp_replace(text, '[^0-9]', '', 'g')) > word_chars
+            OR word_chars < 2 * n_words OR word_chars > 20 * n_words) AS kept
+FROM b""",
 }

@@ -37,3 +37,18 @@ def op8_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     from roadrisk.llm.token_files import digests, token_files
     path = token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return digests(spark, path)
+
+
+@register
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from roadrisk.llm.quality import cascade
+    out = cascade(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                      "base_failed", "kept")
+
+
+@register
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from roadrisk.llm.langid import held_out, identify
+    out = identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
