@@ -52,3 +52,15 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from roadrisk.llm.langid import held_out, identify
     out = identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+@register
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from roadrisk.llm.langid import held_out
+    from roadrisk.llm.toxicity import toxicity
+    out = toxicity(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                   table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return out.select("doc_id", held_out().alias("held_out"), "score",
+                      F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
