@@ -64,3 +64,9 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                    table(spark, sf_dir, "labels").select("doc_id", "toxic"))
     return out.select("doc_id", held_out().alias("held_out"), "score",
                       F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+@register
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from roadrisk.llm.line_templates import drop_recurring_lines
+    return drop_recurring_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
