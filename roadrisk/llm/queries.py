@@ -70,3 +70,9 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from roadrisk.llm.line_templates import drop_recurring_lines
     return drop_recurring_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from roadrisk.llm.jaccard import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text_key")
