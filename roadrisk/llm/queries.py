@@ -76,3 +76,13 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from roadrisk.llm.jaccard import near_duplicates
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text_key")
+
+
+#: The key of the registered query; a deployment passes its own.
+PSEUDONYM_KEY = b"registered query"
+
+
+@register
+def op9_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from roadrisk.llm.pii import pseudonymise
+    return pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PSEUDONYM_KEY)
