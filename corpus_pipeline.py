@@ -10,26 +10,47 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadrisk.llm import decontaminate, jaccard, langid, line_templates, packing
 from roadrisk.session import materialise
 
 #: Some stages have no SQL form (a trained classifier, a tokenizer, a packing fit).
 ORACLE_SQL = None
 
 
-def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, and those whose language is ambiguous, go."""
+    model = langid.train(docs.where(~langid.held_out()))
+    found = langid.annotate(docs, model)
+    return found.where((F.col("_lang_pred") != langid.UND) & ~F.col("_lang_ambiguous")).select(docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Recurring lines go, and with them documents that had nothing else."""
+    found = line_templates.drop_recurring_lines(docs)
+    left = (F.col("n_dropped") == 0) | (F.length(F.trim("text")) > 0)
+    return found.where(left).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by n-gram similarity, directly or through others, one stays."""
+    return jaccard.keep_one(docs).select(docs.columns)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the benchmark contaminates go."""
-    from roadrisk.llm.decontaminate import contamination
-    found = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(found.where("contaminated").select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+    found = decontaminate.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    gone = found.where("contaminated").select(F.col("text_key").alias("_text_key")).distinct()
+    return (docs.withColumn("_text_key", F.xxhash64(F.coalesce("text", F.lit("")))).join(gone, "_text_key", "left_anti")
+            .select(docs.columns))
 
 
-def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document's pieces with the sequence and offset that they are packed to."""
-    from roadrisk.llm.packing import pack as packing
-    return packing(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
-STAGES = [("benchmark_decontamination", decontaminate), ("best_fit_packing", pack)]
+STAGES = [("language_id", language), ("line_dedup", line_dedup), ("ngram_jaccard_join", one_of_each_group),
+          ("benchmark_decontamination", decontaminated), ("best_fit_packing", packed)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -168,15 +168,15 @@ def _hits(w, block: _Block, seen: dict, row: np.ndarray):
 def contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
                   block: int = 100_000, one_in: int = 20) -> DataFrame:
-    """Per document row: its id, n_words, n_hit (words inside an occurrence of a window),
+    """Per document row: its id, text_key (Spark's xxhash64 of the text), n_words, n_hit (words inside an occurrence of a window),
     n_items, items (sorted ids), items_sha256 and contaminated (n_hit > 0 and
     ``one_in`` * n_hit >= n_words)."""
     spark = docs.sparkSession
     pairs = materialise(item_windows(benchmark, item_col, item_text_col, window), "bench-windows")
     n_blocks = max(1, -(-pairs.count() // block))
-    docs = docs.select(F.col(id_col), F.col(text_col).alias("__text"))
+    docs = docs.select(F.col(id_col), F.col(text_col).alias("__text"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_key"))
     id_type = docs.schema[id_col].dataType
-    schema = T.StructType([T.StructField(id_col, id_type), T.StructField("text_hash", T.LongType()),
+    schema = T.StructType([T.StructField(id_col, id_type), T.StructField("text_key", T.LongType()),
                            T.StructField("n_words", T.LongType()), T.StructField("spans", T.ArrayType(T.LongType())),
                            T.StructField("items", T.ArrayType(T.StringType()))])
     parts = []
@@ -194,7 +194,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
     if len(parts) > 1:  # a row comes back from every block: put its hits together
         for p in parts[1:]:
             out = out.unionByName(p)
-        out = (out.groupBy(id_col, "text_hash", "n_words")
+        out = (out.groupBy(id_col, "text_key", "n_words")
                .agg((F.count(F.lit(1)) / len(parts)).cast("int").alias("copies"),
                     F.flatten(F.collect_set("spans")).alias("spans"), F.flatten(F.collect_set("items")).alias("items"))
                .withColumn("copies", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("copies"))
@@ -207,11 +207,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
             .withColumn("n_items", F.size("items").cast("long"))
             .withColumn("items_sha256", F.sha2(F.array_join("items", ","), 256))
             .withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * one_in >= F.col("n_words")))
-            .select(id_col, "n_words", "n_hit", "n_items", "items", "items_sha256", "contaminated"))
+            .select(id_col, "text_key", "n_words", "n_hit", "n_items", "items", "items_sha256", "contaminated"))
 
 
 def _join(docs: DataFrame, block_b, schema: T.StructType) -> DataFrame:
-    """(id, hash of the text, n_words, hit spans as flat [from, to) word positions, items)
+    """(id, text_key, n_words, hit spans as flat [from, to) word positions, items)
     of every document row for one block."""
     def run(batches):
         block = block_b.value
@@ -232,21 +232,12 @@ def _join(docs: DataFrame, block_b, schema: T.StructType) -> DataFrame:
                             items[r] = sorted({x for k in np.unique(i).tolist() for x in block.items[k]})
                 yield pa.record_batch([
                     b.column(0).slice(lo, n),
-                    pa.array([int(x) for x in _text_hash(w, n)], pa.int64()),
-                    pa.array(np.diff(w.first).astype(np.int64)), pa.array(spans, pa.list_(pa.int64())),
+                    b.column(2).slice(lo, n), pa.array(np.diff(w.first).astype(np.int64)), pa.array(spans, pa.list_(pa.int64())),
                     pa.array(items, pa.list_(pa.string()))], names=schema.fieldNames())
 
     return docs.mapInArrow(run, schema)
 
 
-def _text_hash(w, n: int) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        acc = np.zeros(n, np.uint64)
-        place = np.arange(len(w.hash), dtype=np.uint64)
-        np.add.at(acc, w.row, w.hash * (place - np.repeat(w.first[:-1], np.diff(w.first)).astype(np.uint64) + np.uint64(1)))
-        return acc.view(np.int64)
-
-
 def _merge(a: np.ndarray, b: np.ndarray) -> list[int]:
     """Union of the ranges [a, b), flat and in order."""
     order = np.argsort(a, kind="stable")

@@ -274,11 +274,9 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"the components did not settle in {max_rounds} rounds")
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
-                    target_recall: float = TARGET_RECALL, limit: int = LIMIT) -> DataFrame:
-    """Per document row: its id, text_key, class_id (lowest id of all documents linked to it
-    directly or through others, itself included), n_links (other texts' classes it is
-    linked to) and n_copies (other rows with the same shingles)."""
+def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
+            target_recall: float = TARGET_RECALL, limit: int = LIMIT) -> tuple[DataFrame, DataFrame]:
+    """(rows: id, text_key, node of every document; copy classes: node, low_id, rows, root, n_links)."""
     runs = runs_needed(threshold, target_recall)
     base = materialise(profiles(docs, id_col=id_col, text_col=text_col, threshold=threshold, runs=runs), "jaccard-profiles")
     sets = materialise(base.groupBy("node").agg(
@@ -288,9 +286,25 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     links = materialise(verified(pairs, sets, docs, text_col=text_col, threshold=threshold), "jaccard-links")
     roots = components(links)
     degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
-    classes = (sets.select("node", "low_id", "rows").join(roots, "node", "left").join(degree, "node", "left")
-               .select("node", "low_id", "rows", F.coalesce("root", "node").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
-    classes = materialise(classes, "jaccard-components")
-    lowest = classes.groupBy("root").agg(F.min("low_id").alias("class_id"))
-    return (base.select("id", "text_key", "node").join(classes.join(lowest, "root"), "node")
+    found = (sets.select("node", "low_id", "rows").join(roots, "node", "left").join(degree, "node", "left")
+             .select("node", "low_id", "rows", F.coalesce("root", "node").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
+    return base.select("id", "text_key", "node"), materialise(found, "jaccard-components")
+
+
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", **kw) -> DataFrame:
+    """Per document row: its id, text_key, class_id (lowest id of all documents linked to it
+    directly or through others, itself included), n_links (other texts' classes it is
+    linked to) and n_copies (other rows with the same shingles)."""
+    rows, found = classes(docs, id_col=id_col, **kw)
+    lowest = found.groupBy("root").agg(F.min("low_id").alias("class_id"))
+    return (rows.join(found.join(lowest, "root"), "node")
             .select(F.col("id").alias(id_col), "text_key", "class_id", "n_links", (F.col("rows") - 1).alias("n_copies")))
+
+
+def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
+    """``docs`` with one row of each class: the lowest id's, then the lowest text_key's."""
+    rows, found = classes(docs, id_col=id_col, text_col=text_col, **kw)
+    stays = (rows.join(found.select("node", "root"), "node").groupBy("root").agg(F.min(F.struct("id", "text_key")).alias("s"))
+             .select(F.xxhash64("s.id", "s.text_key").alias("_j_key")))
+    key = F.xxhash64(F.col(id_col), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    return docs.withColumn("_j_key", key).join(stays, "_j_key", "left_semi").dropDuplicates(["_j_key"]).drop("_j_key")

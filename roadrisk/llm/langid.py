@@ -191,28 +191,37 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
 def predict(docs: DataFrame, model: Model | None, *, id_col: str = "doc_id", text_col: str = "text",
             ambiguous_lead: float = 0.2) -> DataFrame:
     """(id, lang_pred, score, ambiguous) of every row."""
+    out = annotate(docs.select(F.col(id_col), F.col(text_col).alias("_lang_text")), model, text_col="_lang_text",
+                   ambiguous_lead=ambiguous_lead)
+    return out.select(id_col, F.col("_lang_pred").alias("lang_pred"), F.col("_lang_score").alias("score"),
+                      F.col("_lang_ambiguous").alias("ambiguous"))
+
+
+def annotate(docs: DataFrame, model: Model | None, *, text_col: str = "text", ambiguous_lead: float = 0.2) -> DataFrame:
+    """``docs`` with _lang_pred, _lang_score and _lang_ambiguous."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("lang_pred", T.StringType()),
-                           T.StructField("score", T.DoubleType()), T.StructField("ambiguous", T.BooleanType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField("_lang_pred", T.StringType()),
+                           T.StructField("_lang_score", T.DoubleType()), T.StructField("_lang_ambiguous", T.BooleanType())])
+    place = docs.columns.index(text_col)
 
     def run(batches):
         m = shared.value
         names = np.array([*(m.languages if m else []), UND], dtype=object)
         for b in batches:
-            n = b.num_rows
+            n, text = b.num_rows, b.column(place)
             best, score, lead = np.full(n, len(names) - 1), np.zeros(n), np.ones(n)
             if m is not None:
-                letters = pc.fill_null(pc.match_substring_regex(b.column(1), r"\p{L}"), False).to_numpy(zero_copy_only=False)
-                data, offsets = utf8(lowered(b.column(1)))
+                letters = pc.fill_null(pc.match_substring_regex(text, r"\p{L}"), False).to_numpy(zero_copy_only=False)
+                data, offsets = utf8(lowered(text))
                 for lo, hi in chunks(offsets, _CHUNK):
                     got = m.decode(m.margins(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]))
                     ok = letters[lo:hi]
                     for out, x in zip((best, score, lead), got):
                         out[lo:hi][ok] = x[ok]
-            yield pa.record_batch([b.column(0), pa.array(names[best], pa.string()), pa.array(score),
+            yield pa.record_batch([*b.columns, pa.array(names[best], pa.string()), pa.array(score),
                                    pa.array(lead < ambiguous_lead)], names=schema.fieldNames())
 
-    return docs.select(F.col(id_col), F.col(text_col).alias("__text")).mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema)
 
 
 def identify(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",

@@ -16,7 +16,8 @@ pre-aggregated rows before any shuffle by key; drop lists join back on the docum
 Defined cases: a null text stays null and an empty one empty (no lines dropped); shorter
 lines are never dropped; a line repeated within one document counts that document once;
 rows equal in id and text are treated alike, as one document; a null id is the lowest;
-an empty table gives no rows; other columns pass through.
+an empty table gives no rows; other columns pass through (an
+n_lines or n_dropped of the input is replaced).
 """
 
 from __future__ import annotations
@@ -96,4 +97,5 @@ def drop_recurring_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
     return (out.withColumn("n_lines", F.when(F.col(text_col).isNull(), 0).otherwise(F.size("_t_lines")).cast("long"))
             .withColumn("n_dropped", F.when(F.col("_t_drop").isNull(), 0).otherwise(F.size("_t_drop")).cast("long"))
             .withColumn("_t_new", F.when(F.col("_t_drop").isNull(), F.col(text_col)).otherwise(kept))
-            .select(*[F.col("_t_new").alias(c) if c == text_col else F.col(c) for c in docs.columns], "n_lines", "n_dropped"))
+            .select(*[F.col("_t_new").alias(c) if c == text_col else F.col(c) for c in docs.columns
+                      if c not in ("n_lines", "n_dropped")], "n_lines", "n_dropped"))

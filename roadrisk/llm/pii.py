@@ -13,7 +13,8 @@ candidates go to the first kind listed.
 
 Defined cases: a null text stays null, an empty one empty; an invalid date, IBAN or
 address is left alone; repeated values and rows get equal pseudonyms; an empty table
-gives no rows; other columns pass through.
+gives no rows; other columns pass
+through (a ``pii`` of the input is replaced).
 """
 
 from __future__ import annotations
@@ -206,6 +207,7 @@ def replace(text: str, permuter: Permuter, back: bool = False) -> tuple[str, lis
 
 def pseudonymise(docs: DataFrame, key: bytes, *, text_col: str = "text", back: bool = False) -> DataFrame:
     """``docs`` with values replaced in the text, and ``pii``: kind and place of each."""
+    docs = docs.drop("pii")
     schema = T.StructType([*docs.schema.fields, T.StructField("pii", T.ArrayType(T.StructType([
         T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])))])
     place = docs.columns.index(text_col)

@@ -86,3 +86,11 @@ PSEUDONYM_KEY = b"registered query"
 def op9_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     from roadrisk.llm.pii import pseudonymise
     return pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PSEUDONYM_KEY)
+
+
+@register
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from roadrisk.llm.langid import held_out
+    from roadrisk.llm.secrets import certain_findings, scan
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return scan(docs, lambda found: certain_findings(found.where(~held_out())), key=PSEUDONYM_KEY, path_col="source")
