@@ -147,7 +147,7 @@ def _hits(w, block: _Block, seen: dict, row: np.ndarray):
         k = _find(h, seen[s], p_hash)
         a, b = np.searchsorted(p_hash, h[k], "left"), np.searchsorted(p_hash, h[k], "right")
         n = b - a
-        j = np.repeat(a - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(int(n.sum()))
+        j = np.repeat(a - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
         at_word = np.repeat(at[k], n)
         starts.append(at_word - p_place[j])
         wins.append(p_row[j])

@@ -86,7 +86,7 @@ def _choose(h: np.ndarray, first: np.ndarray, row: np.ndarray, path: np.ndarray,
     """For each (row, path): the shingles sampled there. Returns (index of the pair, new path)."""
     n = first[row + 1] - first[row]
     pair = np.repeat(np.arange(len(row)), n)
-    at = np.arange(len(pair)) - np.repeat(np.r_[0, np.cumsum(n)[:-1]], n) + np.repeat(first[row], n)
+    at = np.arange(len(pair)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[row], n)
     v = mix(h[at] ^ np.repeat(path, n))
     hit = np.flatnonzero(v <= np.repeat(bar[row], n))
     return pair[hit], mix(v[hit] * _M + path[pair[hit]])
