@@ -31,6 +31,7 @@ DEPTH = 3
 MIN_TOKENS = 6
 MIN_DOCS = 3
 SIMILARITY = 0.8
+SALTS = 16
 WILDCARD = "<*>"
 
 
@@ -75,14 +76,17 @@ def dropped_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     here = materialise(found.join(materialise(leaf, "line-leaves"), "_t_leaf", "left_semi"), "line-candidates")
     variants = materialise(here.groupBy("_t_leaf", "_t_variant")
                            .agg(F.count(F.lit(1)).alias("_t_lines"), F.first("_t_masked").alias("_t_masked")), "line-variants")
+    salt = F.pmod("_t_doc", F.lit(SALTS))  # a template of many documents is dealt to many tasks
     named = materialise(here.select("_t_doc", "_t_id", "_t_pos", "_t_leaf", "_t_variant")
                         .join(templates(variants, similarity), ["_t_leaf", "_t_variant"])
-                        .select("_t_doc", "_t_id", "_t_pos", "_t_template"), "line-templates")
-    recurring = (named.groupBy("_t_template", "_t_doc").agg(F.min(F.struct("_t_id", "_t_pos", "_t_doc")).alias("first"))
-                 .groupBy("_t_template").agg(F.count(F.lit(1)).alias("docs"), F.min("first").alias("first"))
+                        .select("_t_doc", "_t_id", "_t_pos", "_t_template", salt.alias("_t_salt")), "line-templates")
+    recurring = (named.groupBy("_t_template", "_t_salt", "_t_doc").agg(F.min(F.struct("_t_id", "_t_pos", "_t_doc")).alias("first"))
+                 .groupBy("_t_template", "_t_salt").agg(F.count(F.lit(1)).alias("docs"), F.min("first").alias("first"))
+                 .groupBy("_t_template").agg(F.sum("docs").alias("docs"), F.min("first").alias("first"))
                  .where(F.col("docs") >= min_docs)
-                 .select("_t_template", F.col("first._t_doc").alias("_t_first"), F.col("first._t_pos").alias("_t_first_pos")))
-    return (named.join(recurring, "_t_template")
+                 .select("_t_template", F.col("first._t_doc").alias("_t_first"), F.col("first._t_pos").alias("_t_first_pos"),
+                         F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long").alias("_t_salt")))
+    return (named.join(recurring, ["_t_template", "_t_salt"])
             .where((F.col("_t_doc") != F.col("_t_first")) | (F.col("_t_pos") != F.col("_t_first_pos")))
             .select("_t_doc", "_t_pos"))
 
