@@ -85,7 +85,7 @@ def dropped_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
                  .groupBy("_t_template").agg(F.sum("docs").alias("docs"), F.min("first").alias("first"))
                  .where(F.col("docs") >= min_docs)
                  .select("_t_template", F.col("first._t_doc").alias("_t_first"), F.col("first._t_pos").alias("_t_first_pos"),
-                         F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long").alias("_t_salt")))
+                         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("_t_salt")))
     return (named.join(recurring, ["_t_template", "_t_salt"])
             .where((F.col("_t_doc") != F.col("_t_first")) | (F.col("_t_pos") != F.col("_t_first_pos")))
             .select("_t_doc", "_t_pos"))
