@@ -156,6 +156,7 @@ def _buckets(sets: DataFrame, limit: int) -> DataFrame:
             rows = (sets.select("node", pairs).select("node", F.col(f"x.q{depth + 1}").alias("parent"),
                                                       F.col(f"x.p{depth + 1}").alias("path"))
                     .join(large, "parent", "left_semi").select("node", "path"))
+            rows = materialise(rows, f"splits-{depth + 1}")  # read twice: for sizes and for buckets
     out = found[0]
     for x in found[1:]:
         out = out.unionByName(x)
