@@ -106,11 +106,44 @@ def yeo_johnson_loglik(df: DataFrame, cols=NUMERIC_FEATURES, grid: list[float] |
                       (-F.col("n") / 2.0 * F.log("var") + (F.col("lam") - 1.0) * F.col("slog")).alias("loglik"))
 
 
-def yeo_johnson_fit(df: DataFrame, cols=NUMERIC_FEATURES, grid: list[float] | None = None) -> DataFrame:
-    """F16 fit: the maximum-likelihood lambda per column (ties -> smaller lambda)."""
-    ll = yeo_johnson_loglik(df, cols, grid).withColumn("loglik", F.round("loglik", 6))
+def yeo_johnson_fit(df: DataFrame, cols=NUMERIC_FEATURES, grid: list[float] | None = None,
+                    widest: float = 200.0) -> DataFrame:
+    """F16 fit: the maximum-likelihood lambda per column (ties -> smaller lambda).
+
+    Without a ``grid`` the search starts on [-3, 3] and goes on beyond an end for as long
+    as a column's best lambda lies on it; past ``widest`` it is an error, never a bound
+    returned as an optimum. Only one row a column comes back from each step.
+    """
     best = F.min_by(F.struct("lambda", "loglik"), F.struct(-F.col("loglik"), F.col("lambda")))
-    return ll.groupBy("feature").agg(best.alias("b")).select("feature", "b.lambda", "b.loglik")
+
+    def at(columns, lambdas) -> DataFrame:
+        ll = yeo_johnson_loglik(df, columns, lambdas).withColumn("loglik", F.round("loglik", 6))
+        return ll.groupBy("feature").agg(best.alias("b")).select("feature", "b.lambda", "b.loglik")
+
+    if grid is not None:
+        return at(cols, grid)
+    found = {c: None for c in cols}
+    lo, hi, todo = -3.0, 3.0, {c: lambda_grid() for c in cols}
+    ends = {c: (lo, hi) for c in cols}
+    while todo:
+        groups: dict[tuple, list[str]] = {}
+        for c, lambdas in todo.items():
+            groups.setdefault(tuple(lambdas), []).append(c)
+        todo = {}
+        for lambdas, columns in groups.items():
+            for r in at(columns, list(lambdas)).collect():
+                c, old = r["feature"], found[r["feature"]]
+                if r["lambda"] is not None and (old is None or (-r["loglik"], r["lambda"]) < (-old[1], old[0])):
+                    found[c] = (r["lambda"], r["loglik"])
+                lo, hi = ends[c]
+                if found[c] and found[c][0] in (lo, hi):
+                    if max(-lo, hi) >= widest:
+                        raise ValueError(f"no best lambda of {c} within [{lo}, {hi}]")
+                    up = found[c][0] == hi
+                    ends[c] = (lo, hi * 2) if up else (lo * 2, hi)
+                    todo[c] = lambda_grid(hi, hi * 2) if up else lambda_grid(lo * 2, lo)
+    rows = [(c, *found[c]) for c in cols if found[c]]
+    return df.sparkSession.createDataFrame(rows, "feature string, lambda double, loglik double")
 
 
 def yeo_johnson_transform(df: DataFrame, params: DataFrame, cols=NUMERIC_FEATURES,

@@ -88,6 +88,25 @@ def join_features(a1: DataFrame, a2: DataFrame, a3: DataFrame, a4: DataFrame, a5
         (z("heridos_vulnerables") + z("heridos_vulnerables_f")).alias("heridos_vulnerables"))
 
 
+def paired_features(accidents: DataFrame, killed: DataFrame, injured: DataFrame, grid: DataFrame,
+                    end, years: int = 3) -> DataFrame:
+    """J4 with one aggregate for A2 and A4 and one for A3 and A5: each pair counts the same
+    joined rows, so one pass gives both columns."""
+    acc = windowed_accidents(accidents, end, years)
+    hurt = (severity_filter(acc, SEVERITY_INJURED).join(person_counts(injured, "h"), "FORMULARIO")
+            .groupBy(*CELL).agg(_sum("h_n", "heridos"), _sum("h_v", "heridos_vulnerables")))
+    dead = (fatal_with_injured(acc, killed, injured).groupBy(*CELL)
+            .agg(_sum("m_n", "muertes"), _sum("h_n", "heridos_f"), _sum("m_v", "muertes_vulnerables"),
+                 _sum("h_v", "heridos_vulnerables_f")))
+    j = (accident_counts(accidents, end, years).join(hurt, CELL, "left").join(dead, CELL, "left")
+         .join(grid.select("CIV", "MVINOMBRE"), "CIV"))
+    z = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long")
+    return j.select(
+        "MVINOMBRE", *CELL, z("accidentes").alias("accidentes"), z("muertes").alias("muertes"),
+        (z("heridos") + z("heridos_f")).alias("heridos"), z("muertes_vulnerables").alias("muertes_vulnerables"),
+        (z("heridos_vulnerables") + z("heridos_vulnerables_f")).alias("heridos_vulnerables"))
+
+
 # --- single-pass form (one scan per table, see plans.features) -------------------------
 
 def accident_measures(accidents: DataFrame, injured: DataFrame, killed: DataFrame, end,
@@ -150,15 +169,15 @@ def motorcycles_per_accident(vehicles: DataFrame, motorcycle: str) -> DataFrame:
 def crosstab_long(counts: DataFrame, rows: list[str], col: str, value: str = "n") -> DataFrame:
     """Cross-tab in long form with the zero cells pandas would show.
 
-    ``pivot`` builds the observed-rows x observed-columns grid without a cross join; the
-    pivot values are the distinct column keys (a small, bounded domain such as vehicle
-    classes). Absent cells become 0; the grid is then unpivoted back to long form.
+    Every observed row of the table carries the list of observed column keys (a scalar
+    subquery over the already aggregated counts) and the counts it has; cells it lacks are
+    0. No pivot, so no driver job and no limit on the number of column keys.
     """
-    wide = counts.groupBy(*rows).pivot(col).agg(F.sum(value)).fillna(0)
-    cats = [c for c in wide.columns if c not in rows]
-    pairs = F.array(*[F.struct(F.lit(c).alias(col), F.col(f"`{c}`").cast("long").alias(value))
-                      for c in cats])
-    return wide.select(*rows, F.explode(pairs).alias("_p")).select(*rows, "_p.*")
+    keys = counts.agg(F.array_sort(F.collect_set(col)).alias("k")).select("k").scalar()
+    have = (counts.groupBy(*rows, col).agg(F.sum(value).cast("long").alias("_n"))
+            .groupBy(*rows).agg(F.map_from_entries(F.collect_list(F.struct(col, "_n"))).alias("_have")))
+    return (have.select(*rows, "_have", F.explode(keys).alias(col))
+            .select(*rows, col, F.coalesce(F.element_at("_have", F.col(col)), F.lit(0)).cast("long").alias(value)))
 
 
 def normalise_all(long: DataFrame, value: str = "n") -> DataFrame:

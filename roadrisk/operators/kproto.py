@@ -143,7 +143,7 @@ def cao_density(df: DataFrame, cat_cols: list[str], out: str = "density") -> Dat
     out_df, terms = df, []
     for i, c in enumerate(cat_cols):
         freq = df.groupBy(c).agg(F.count(F.lit(1)).alias(f"_f{i}"))
-        out_df = out_df.join(F.broadcast(freq), c, "left")
+        out_df = out_df.join(freq, c, "left")  # AQE decides by size
         terms.append(F.col(f"_f{i}") / n)
     dens = terms[0]
     for t in terms[1:]:
@@ -243,7 +243,8 @@ def fit(df: DataFrame, num_cols: list[str], cat_cols: list[str], k: int = 3,
     """M6: k-prototypes with ``n_restarts`` restarts advanced together; the cheapest kept.
 
     ``df`` should be materialised (checkpointed) by the caller: it is scanned once per
-    iteration. Returns the best model and one summary dict per restart.
+    iteration. Returns the cheapest of the restarts that converged and one summary dict per
+    restart (``converged`` among its keys); none converged is an error.
     """
     order_keys = order_keys or cat_cols
     gamma = default_gamma(df, num_cols) if gamma is None else float(gamma)
@@ -295,7 +296,10 @@ def fit(df: DataFrame, num_cols: list[str], cat_cols: list[str], k: int = 3,
             models[r] = new
     for r in active:  # did not converge within max_iter: cost of the last assignment
         models[r].cost = history[r][-1]
-    best = min(models.values(), key=lambda m: (m.cost, m.restart))
-    summary = [{"restart": r, "cost": models[r].cost, "iterations": models[r].n_iter,
+    settled = [m for r, m in models.items() if r not in active]
+    if not settled:
+        raise RuntimeError(f"none of {n_restarts} restarts converged in {max_iter} iterations")
+    best = min(settled, key=lambda m: (m.cost, m.restart))  # an unconverged fit never wins
+    summary = [{"restart": r, "cost": models[r].cost, "iterations": models[r].n_iter, "converged": r not in active,
                 "cost_history": history[r]} for r in sorted(models)]
     return best, summary

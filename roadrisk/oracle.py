@@ -1,4 +1,5 @@
 """DuckDB SQL text of the adapter and clean views, used to build the oracle queries.
+Death dates stay epoch milliseconds here (a timestamp in Spark's tables).
 
 The oracle is an independent formulation: it follows the reference's SQL shapes (joins
 then ``COUNT .. FILTER``, CTEs, ``GROUP BY``/``HAVING``), not the Spark plans. Views are
@@ -77,14 +78,15 @@ FROM (SELECT *, epoch_ms(FECHA_HORA_ACC - 18000000) AS lt FROM conheridos_raw)""
     "confallecidos_raw": (["person_base"], f"""
 SELECT {_PERSON},
     CASE l_partkey % 3 WHEN 0 THEN 'S' WHEN 1 THEN 'N' END AS MUERTE_POSTERIOR,
-    CAST(NULL AS BIGINT) AS FECHA_POSTERIOR_MUERTE, {_TIME} AS FECHA_HORA_ACC, {_GEOM}
+    CAST(CASE WHEN l_partkey % 3 = 0 THEN {_TIME} + (l_partkey % 20) * 86400000 END AS BIGINT) AS FECHA_POSTERIOR_MUERTE,
+    {_TIME} AS FECHA_HORA_ACC, {_GEOM}
 FROM person_base
 WHERE l_returnflag = 'A' AND ((l_quantity >= 49 AND o_orderstatus = 'F')
     OR (l_quantity = 50 AND l_suppkey % 10 = 0 AND o_orderstatus = 'O'))"""),
     "confallecidos": (["confallecidos_raw"], f"""
 SELECT OBJECTID, FORMULARIO, LOCALIDAD, CLASE_ACC, CONDICION,
     coalesce(GENERO, 'SIN INFORMACION') AS GENERO, EDAD,
-    coalesce(MUERTE_POSTERIOR, 'N') AS MUERTE_POSTERIOR,
+    coalesce(MUERTE_POSTERIOR, 'N') AS MUERTE_POSTERIOR, FECHA_POSTERIOR_MUERTE,
     x AS LONGITUD, y AS LATITUD, {_CALENDAR}
 FROM (SELECT *, epoch_ms(FECHA_HORA_ACC - 18000000) AS lt FROM confallecidos_raw)"""),
     "vehiculos_raw": ([], f"""
@@ -116,14 +118,14 @@ SELECT l_orderkey * 8 + l_linenumber AS OBJECTID, {_form('l_orderkey')} AS FORMU
         WHEN l_returnflag = 'R' THEN 'HERIDO' ELSE 'ILESO' END AS ESTADO,
     CASE WHEN l_partkey % 41 = 0 THEN 'S' WHEN l_partkey % 2 = 0 THEN NULL ELSE 'N' END
         AS MUERTE_POSTERIOR,
-    CAST(NULL AS BIGINT) AS FECHA_POSTERIOR_MUERTE
+    CAST(CASE WHEN l_partkey % 41 = 0 THEN 946684800000 + (l_partkey % 365) * 86400000 END AS BIGINT) AS FECHA_POSTERIOR_MUERTE
 FROM (SELECT *, CASE WHEN l_partkey % 23 = 0 THEN NULL ELSE {_COND} END AS cond FROM lineitem)"""),
     "actores": (["actores_raw"], """
 SELECT OBJECTID, FORMULARIO, CODIGO_VICTIMA, CAST(coalesce(CODIGO_VEHICULO, 0) AS INTEGER)
         AS CODIGO_VEHICULO,
     coalesce(CONDICION, 'SIN INFORMACION') AS CONDICION,
     coalesce(GENERO, 'SIN INFORMACION') AS GENERO, EDAD,
-    coalesce(ESTADO, 'ILESO') AS ESTADO, MUERTE_POSTERIOR,
+    coalesce(ESTADO, 'ILESO') AS ESTADO, MUERTE_POSTERIOR, FECHA_POSTERIOR_MUERTE,
     CASE WHEN coalesce(ESTADO, 'ILESO') = 'MUERTO' OR MUERTE_POSTERIOR = 'S' THEN 'MUERTO'
         ELSE coalesce(ESTADO, 'ILESO') END AS ESTADO_FINAL
 FROM actores_raw"""),

@@ -1,33 +1,39 @@
-"""Loads: the initial bulk load (R4) and the idempotent monthly append (K5).
+"""Loads: the initial bulk load (R4) and the idempotent monthly append (K5), and deleting
+accidents with all their rows (K4).
 
-R4:  raw layers -> landed pages -> read (S1) -> children semi-joined to accidents (J5)
-     -> cleaning (F1-F8) -> integrity checks (K1-K3) -> one write per table (S6).
-K5:  month of accidents (P8) + related child rows (J6) -> cleaning -> per table, only
-     keys the table does not hold yet (anti join on the batch months' partitions only)
-     -> staged (S7) -> checks -> append.
+R4:  landed page folders -> read (S1) -> cleaning (F1-F8), accidents staged first -> children
+     joined to the staged accident keys (J5) -> integrity checks (K1, K3) -> one write a table (S6).
+K5:  accidents of the batch (P8) staged -> split into new and already stored ones by the whole
+     stored key column -> their child rows (J6) minus the rows the store holds -> staged (S7)
+     -> checks -> append.
 
-Every stored table is partitioned by the accident (year, month); child rows carry their
-accident's month, so a monthly run reads one partition per table, not the whole store.
+Stored tables hold the columns of the cleaned tables as they are. Two further columns,
+``part_year`` and ``part_month``, say in which month's partition a row lies: its
+accident's, also for child rows, so a date window prunes the partitions of all six tables.
+An accident without a date, and its child rows, lie in the null partition.
 
 The integrity checks run *before* any write and raise on a violation, so a bad batch
-leaves the store untouched. K5 is idempotent per table: re-running a month, or resuming
-after a failure between two table appends, appends nothing twice.
+leaves the store untouched. The append adds nothing twice: an accident's key is looked up
+among all stored keys whatever its month (a later correction of a stored accident isn't
+applied), and of equal child rows only as many are added as the store lacks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from roadrisk.functions.calendar import previous_month_filter
+from roadrisk.functions.calendar import as_date, previous_month_filter, window_start
 from roadrisk.functions.cleaning import CLEANERS
 from roadrisk.operators.integrity import pk_violations
 from roadrisk.schemas import ALL_TABLES, CHILD_TABLES, VARCHAR_LIMITS
-from roadrisk.session import scratch_path
+from roadrisk.session import drop_path, drop_scratch, scratch_path
 from roadrisk.sources.files import (append_table, land_pages, read_feature_json, stage_read,
                                     stage_write)
 
-ACCIDENT_PARTITIONS = ["ANO_OCURRENCIA_ACC", "MES_NRO_OCURRENCIA_ACC"]
+PARTITIONS = ["part_year", "part_month"]
 
 
 class IntegrityError(RuntimeError):
@@ -35,12 +41,13 @@ class IntegrityError(RuntimeError):
 
 
 def check_batch(tables: dict[str, DataFrame]) -> dict[str, int]:
-    """K1 on the accidents and K3 on every table, plus the row count of every table, all
+    """K1 on the accidents (if the batch has any) and K3 on every table, plus the row count of every table, all
     evaluated together in one job; raises ``IntegrityError`` when anything is violated.
     Returns {"pk": n, "length:<table>": n, "rows:<table>": n}."""
-    from functools import reduce
-    parts = [pk_violations(tables["siniestros"].select("FORMULARIO"))
-             .agg(F.count(F.lit(1)).alias("n")).select(F.lit("pk").alias("check"), "n")]
+    parts = []
+    if "siniestros" in tables:
+        parts.append(pk_violations(tables["siniestros"].select("FORMULARIO"))
+                     .agg(F.count(F.lit(1)).alias("n")).select(F.lit("pk").alias("check"), "n"))
     for name, df in tables.items():
         # one scan per table: row count and the K3 violations of every limited column
         viol = None
@@ -59,19 +66,21 @@ def check_batch(tables: dict[str, DataFrame]) -> dict[str, int]:
     return found
 
 
-def with_accident_month(child: DataFrame, accidents: DataFrame) -> DataFrame:
-    """Child rows of known accidents (J5/J6), tagged with their accident's (year, month).
+def in_own_month(accidents: DataFrame) -> DataFrame:
+    """Accidents with their partition columns."""
+    return accidents.withColumns({"part_year": F.col("ANO_OCURRENCIA_ACC"), "part_month": F.col("MES_NRO_OCURRENCIA_ACC")})
 
-    An inner join with one row per accident key: the same rows as the semi join, plus the
-    two partition columns, so every stored table is partitioned by the accident month.
-    """
-    keys = accidents.select("FORMULARIO", *ACCIDENT_PARTITIONS)
-    base = child.drop(*[c for c in ACCIDENT_PARTITIONS if c in child.columns])
-    return base.join(keys, "FORMULARIO")
+
+def with_accident_month(child: DataFrame, accidents: DataFrame) -> DataFrame:
+    """Child rows of known accidents (J5/J6) with their accident's partition columns; the
+    child's own columns stay as they are."""
+    if not set(PARTITIONS) <= set(accidents.columns):
+        accidents = in_own_month(accidents)
+    return child.join(accidents.select("FORMULARIO", *PARTITIONS), "FORMULARIO").select(*child.columns, *PARTITIONS)
 
 
 def write_store(tables: dict[str, DataFrame], store_dir: str, mode: str = "overwrite") -> dict[str, str]:
-    """Write the tables partitioned by the accident (year, month).
+    """Write the tables partitioned by the accident's month.
 
     REBALANCE lets AQE group rows by partition -- few files per month -- while still
     splitting a month that is too large for one task.
@@ -79,22 +88,46 @@ def write_store(tables: dict[str, DataFrame], store_dir: str, mode: str = "overw
     paths = {}
     for name, df in tables.items():
         path = f"{store_dir.rstrip('/')}/{name}"
-        (df.hint("rebalance", *ACCIDENT_PARTITIONS).write.mode(mode)
-         .partitionBy(*ACCIDENT_PARTITIONS).parquet(path))
+        if name == "siniestros" and "part_year" not in df.columns:
+            df = in_own_month(df)
+        df.hint("rebalance", *PARTITIONS).write.mode(mode).partitionBy(*PARTITIONS).parquet(path)
         paths[name] = path
     return paths
 
 
-def month_predicate(months: list[tuple[int, int]]):
-    """Partition filter for a set of (year, month) pairs."""
-    cond = F.lit(False)
-    for y, m in months:
-        cond = cond | ((F.col(ACCIDENT_PARTITIONS[0]) == y) & (F.col(ACCIDENT_PARTITIONS[1]) == m))
-    return cond
+def months_between(start, end) -> Column:
+    """Partition filter: months that a date after ``start`` and up to ``end`` can lie in."""
+    a, z = as_date(start), as_date(end)
+    month = F.col("part_year") * 12 + F.col("part_month")
+    return (month >= a.year * 12 + a.month) & (month <= z.year * 12 + z.month)
+
+
+def read_store(spark: SparkSession, store_dir: str, partitions: bool = False) -> dict[str, DataFrame]:
+    """The stored tables; with their partition columns on request."""
+    found = {n: spark.read.parquet(f"{store_dir.rstrip('/')}/{n}") for n in ALL_TABLES}
+    return found if partitions else {n: df.drop(*PARTITIONS) for n, df in found.items()}
+
+
+class StoreTables:
+    """The tables of a store for the reports, with the interface of ``Tables``.
 
+    With a window, only the partitions it can touch are read, of accidents and child
+    tables alike; the reports' own date filter still cuts the first and last month.
+    """
+
+    def __init__(self, spark: SparkSession, store_dir: str, grid: DataFrame, end=None, years: int = 3):
+        self.spark, self.grid = spark, grid
+        keep = None if end is None else months_between(window_start(as_date(end), years), end)
+        self._tables = {n: (df if keep is None else df.where(keep)).drop(*PARTITIONS)
+                        for n, df in read_store(spark, store_dir, partitions=True).items()}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self.grid if name == "malla" else self._tables[name]
 
-def read_store(spark: SparkSession, store_dir: str) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(f"{store_dir.rstrip('/')}/{n}") for n in ALL_TABLES}
+    def __getattr__(self, name: str) -> DataFrame:
+        if name in ALL_TABLES:
+            return self._tables[name]
+        raise AttributeError(name)
 
 
 def land_layers(raw: dict[str, DataFrame], landing_dir: str) -> dict[str, str]:
@@ -105,62 +138,161 @@ def land_layers(raw: dict[str, DataFrame], landing_dir: str) -> dict[str, str]:
     return paths
 
 
-def initial_load(spark: SparkSession, raw: dict[str, DataFrame], store_dir: str,
-                 landing_dir: str | None = None) -> dict[str, str]:
-    """Land, read, keep known children, clean, check, write all six tables."""
-    landing = land_layers(raw, landing_dir or scratch_path(spark, "landing"))
-    pages = {layer: read_feature_json(spark, p, layer) for layer, p in landing.items()}
-    acc_raw = pages["siniestros"]
-    tables = {"siniestros": CLEANERS["siniestros"](acc_raw)}
-    for child in CHILD_TABLES:
-        tables[child] = with_accident_month(CLEANERS[child](pages[child]), tables["siniestros"])
-    # Parse the pages once: the cleaned batch is staged as Parquet, checked there, and the
-    # store is written from the stage only when every check passed.
+def initial_load(spark: SparkSession, landing: dict[str, str], store_dir: str, multiline: bool = False) -> dict[str, dict[str, int]]:
+    """Read the landed page folders (layer -> path), keep known children, clean, check,
+    write all six tables. Returns the rows stored and the child rows dropped because their
+    accident is unknown, by table.
+
+    Every page is parsed once: the cleaned accidents are staged first and the children join
+    the staged keys; the checks and the store read the stage.
+    """
     stage = scratch_path(spark, "load-stage")
-    for name, df in tables.items():
-        stage_write(df, stage, name)
-    staged = {name: stage_read(spark, stage, name) for name in tables}
-    check_batch(staged)
-    return write_store(staged, store_dir)
+    try:
+        pages = {layer: read_feature_json(spark, p, layer, multiline) for layer, p in landing.items()}
+        stage_write(in_own_month(CLEANERS["siniestros"](pages["siniestros"])), stage, "siniestros")
+        accidents = stage_read(spark, stage, "siniestros")
+        read = {}
+        for child in CHILD_TABLES:
+            read[child] = Observation()
+            rows = CLEANERS[child](pages[child]).observe(read[child], F.count(F.lit(1)).alias("n"))
+            stage_write(with_accident_month(rows, accidents), stage, child)
+        staged = {name: stage_read(spark, stage, name) for name in ALL_TABLES}
+        found = check_batch(staged)
+        write_store(staged, store_dir)
+    finally:
+        drop_scratch(spark, stage)
+    stored = {n: found[f"rows:{n}"] for n in ALL_TABLES}
+    return {"rows": stored, "orphans": {c: read[c].get["n"] - stored[c] for c in CHILD_TABLES}}
 
 
-def incremental_append(spark: SparkSession, store_dir: str, accidents_raw: DataFrame,
-                       children_raw: dict[str, DataFrame], today=None) -> dict[str, int]:
-    """K5: append one month (the month before ``today``; all rows when ``today`` is None)."""
-    acc = CLEANERS["siniestros"](accidents_raw)
-    if today is not None:
-        acc = previous_month_filter(acc, today)
-    # The calendar months present in the batch (one for a monthly run; a handful of rows
-    # at most). Every stored table is partitioned by the accident month and an accident's
-    # month never changes, so the key checks below read only these partitions.
-    months = [(r[0], r[1]) for r in acc.select(*ACCIDENT_PARTITIONS).distinct().collect()]
-    in_months = month_predicate(months)
-    stored = read_store(spark, store_dir)
-    batch = {"siniestros": acc.join(stored["siniestros"].filter(in_months).select("FORMULARIO"),
-                                    "FORMULARIO", "left_anti")}
-    for child in CHILD_TABLES:
-        rows = with_accident_month(CLEANERS[child](children_raw[child]), acc)
-        held = stored[child].filter(in_months).select("FORMULARIO").distinct()
-        batch[child] = rows.join(held, "FORMULARIO", "left_anti")
-    # Stage the batch so the appends never read the tables they write. Stored keys were
-    # anti-joined away, so a key violation can only come from inside the batch: the check
-    # scans the staged month, not the whole store.
-    stage = scratch_path(spark, "month-stage")
-    for name, df in batch.items():
-        stage_write(df, stage, name)
-    staged = {name: stage_read(spark, stage, name) for name in batch}
+def missing_rows(wanted: DataFrame, held: DataFrame) -> DataFrame:
+    """Rows of ``wanted`` that ``held`` lacks, equal rows by number: of n equal rows wanted
+    and m held, n - m come back. Both sides are counted before they meet."""
+    cols = wanted.columns
+    want = wanted.groupBy(*cols).agg(F.count(F.lit(1)).alias("_want"))
+    have = held.select(*cols).groupBy(*cols).agg(F.count(F.lit(1)).alias("_have")).toDF(*[f"_h_{c}" for c in cols], "_have")
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_h_{c}")) for c in cols])
+    lacking = F.greatest(F.col("_want") - F.coalesce("_have", F.lit(0)), F.lit(0)).cast("int")
+    return (want.join(have, same, "left").withColumn("_n", lacking).where("_n > 0")
+            .select(*cols, F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_i")).drop("_i"))
+
+
+def _append_staged(spark: SparkSession, stage: str, store_dir: str, names: list[str]) -> dict[str, int]:
+    """Check the staged batch as a whole, then append table by table (accidents last)."""
+    staged = {name: stage_read(spark, stage, name) for name in names}
     found = check_batch(staged)
-    counts = {}
-    for name in CHILD_TABLES + ["siniestros"]:
-        counts[name] = found[f"rows:{name}"]
+    counts = {name: found[f"rows:{name}"] for name in names}
+    for name in sorted(names, key=ALL_TABLES.index, reverse=True):
         if counts[name]:
-            append_table(staged[name], f"{store_dir.rstrip('/')}/{name}", ACCIDENT_PARTITIONS)
+            append_table(staged[name], f"{store_dir.rstrip('/')}/{name}", PARTITIONS)
     return counts
 
 
+def _stage_children(spark: SparkSession, stage: str, store_dir: str, children: dict[str, DataFrame], keys: DataFrame) -> None:
+    """Stage the cleaned child rows of the keyed accidents (FORMULARIO, partition) that the store lacks."""
+    stored = read_store(spark, store_dir, partitions=True)
+    on = [F.col("s.FORMULARIO") == F.col("k.FORMULARIO"), *(F.col(f"s.{p}").eqNullSafe(F.col(f"k.{p}")) for p in PARTITIONS)]
+    for child, raw in children.items():
+        wanted = with_accident_month(CLEANERS[child](raw), keys)
+        held = stored[child].alias("s").join(keys.alias("k"), reduce(Column.__and__, on), "left_semi")
+        stage_write(missing_rows(wanted, held), stage, child)
+
+
+def incremental_append(spark: SparkSession, store_dir: str, accidents_raw: DataFrame,
+                       children_raw: dict[str, DataFrame], today=None) -> dict[str, int]:
+    """K5: append one month (the month before ``today``; all rows when ``today`` is None).
+    Returns the rows added by table."""
+    stage = scratch_path(spark, "month-stage")
+    try:
+        acc = CLEANERS["siniestros"](accidents_raw)
+        if today is not None:
+            acc = previous_month_filter(acc, today)
+        stage_write(in_own_month(acc), stage, "batch")
+        batch = stage_read(spark, stage, "batch")
+        known = read_store(spark, store_dir, partitions=True)["siniestros"].select("FORMULARIO", *PARTITIONS)
+        stage_write(batch.join(known, "FORMULARIO", "left_anti"), stage, "siniestros")
+        new = stage_read(spark, stage, "siniestros")
+        # child rows go where their accident lies: stored ones keep their partition
+        again = known.join(batch.select("FORMULARIO"), "FORMULARIO", "left_semi")
+        stage_write(new.select("FORMULARIO", *PARTITIONS).union(again), stage, "keys")
+        _stage_children(spark, stage, store_dir, children_raw, stage_read(spark, stage, "keys"))
+        return _append_staged(spark, stage, store_dir, ["siniestros", *children_raw])
+    finally:
+        drop_scratch(spark, stage)
+
+
+def append_late_children(spark: SparkSession, store_dir: str, children_raw: dict[str, DataFrame]) -> dict[str, int]:
+    """K5: child rows that came after their accident was stored. Rows of accidents that
+    aren't stored are left for the accident's own append."""
+    stage = scratch_path(spark, "late-stage")
+    try:
+        known = read_store(spark, store_dir, partitions=True)["siniestros"].select("FORMULARIO", *PARTITIONS)
+        here = reduce(DataFrame.union, [c.select("FORMULARIO") for c in children_raw.values()]).distinct()
+        stage_write(known.join(here, "FORMULARIO", "left_semi"), stage, "keys")
+        _stage_children(spark, stage, store_dir, children_raw, stage_read(spark, stage, "keys"))
+        return _append_staged(spark, stage, store_dir, list(children_raw))
+    finally:
+        drop_scratch(spark, stage)
+
+
+def delete_accidents(spark: SparkSession, store_dir: str, doomed: DataFrame) -> dict[str, int]:
+    """K4: delete accidents (by FORMULARIO) and all their child rows from the store; returns
+    the rows deleted by table. Only the months of these accidents are rewritten: their
+    surviving rows are staged, then replace the month's partitions, children first."""
+    stored = read_store(spark, store_dir, partitions=True)
+    stage = scratch_path(spark, "delete-stage")
+    try:
+        keys = stored["siniestros"].select("FORMULARIO", *PARTITIONS).join(doomed.select("FORMULARIO").distinct(), "FORMULARIO", "left_semi")
+        stage_write(keys, stage, "keys")
+        keys = stage_read(spark, stage, "keys")
+        months = keys.select(*PARTITIONS).distinct()
+        gone = {}
+        same = reduce(Column.__and__, [F.col(f"s.{p}").eqNullSafe(F.col(f"m.{p}")) for p in PARTITIONS])
+        for name, df in stored.items():
+            here = df.alias("s").join(months.alias("m"), same, "left_semi")
+            before = Observation()
+            stage_write(here.observe(before, F.count(F.lit(1)).alias("n")).join(keys.select("FORMULARIO"), "FORMULARIO", "left_anti"), stage, name)
+            gone[name] = before.get["n"] - stage_read(spark, stage, name).count()
+        for name in [*CHILD_TABLES, "siniestros"]:
+            if not gone[name]:
+                continue
+            path, left = f"{store_dir.rstrip('/')}/{name}", stage_read(spark, stage, name)
+            (left.hint("rebalance", *PARTITIONS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(*PARTITIONS).parquet(path))
+            # a month without survivors isn't written, so its folder still has the old rows
+            kept = {(r[0], r[1]) for r in left.select(*PARTITIONS).distinct().collect()}  # a row a month
+            for y, m in {(r[0], r[1]) for r in months.collect()} - kept:
+                part = "/".join(f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for c, v in zip(PARTITIONS, (y, m)))
+                drop_path(spark, f"{path}/{part}")
+        return gone
+    finally:
+        drop_scratch(spark, stage)
+
+
 def store_counts(spark: SparkSession, store_dir: str) -> DataFrame:
     """Rows per stored table (table_name, rows)."""
-    from functools import reduce
     parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table_name"), "rows")
              for n, df in read_store(spark, store_dir).items()]
     return reduce(DataFrame.unionByName, parts)
+
+
+def content_sql_column(name: str, kind: str) -> str:
+    """A column as text that any SQL engine writes alike: numbers in thousandths, times in ms."""
+    c = f"`{name}`"
+    if kind == "double":
+        c = f"cast(round({c} * 1000) AS bigint)"
+    elif kind == "timestamp":
+        c = f"unix_millis({c})"
+    return f"coalesce(cast({c} AS string), '~')"
+
+
+def store_content(spark: SparkSession, store_dir: str) -> DataFrame:
+    """Per stored table: its rows, and the sum of a hash of every row's own columns (in
+    name order), which doesn't depend on the order of rows."""
+    parts = []
+    for n, df in read_store(spark, store_dir).items():
+        text = ", ".join(content_sql_column(c, t) for c, t in sorted(df.dtypes))
+        h = f"cast(conv(substr(md5(concat_ws('|', {text})), 1, 8), 16, 10) AS bigint)"
+        parts.append(df.selectExpr(f"{h} AS h").agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("h"), F.lit(0)).alias("content"))
+                     .select(F.lit(n).alias("table_name"), "rows", "content"))
+    return reduce(DataFrame.unionByName, parts)

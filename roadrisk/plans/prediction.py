@@ -20,8 +20,9 @@ from roadrisk.schemas import CATEGORICAL_FEATURES, FEATURE_COLUMNS, NUMERIC_FEAT
 from roadrisk.session import materialise  # noqa: F401 (re-exported)
 
 # ---------------------------------------------------------------------------------------
-# FIXED VALUES: the default scoring model (prototypes in min-max scaled space, as saved by
-# a fit; accidentes, muertes, heridos | HORARIO, vulnerables) and its gamma.
+# FIXED VALUES: example prototypes for queries that need a model without fitting one (min-max
+# scaled accidentes, muertes, heridos | HORARIO, vulnerables) and gamma. No fit saved them: a
+# fitted model comes from fit_model, save_model and load_model.
 # ---------------------------------------------------------------------------------------
 DEFAULT_MODEL = kproto.KPrototypesModel(
     num_cols=list(NUMERIC_FEATURES),

@@ -81,3 +81,16 @@ def materialise(df, name: str = "stage"):
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the file system it lies in."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table once nothing reads it any more; only what ``scratch_path`` gave."""
+    if not path.startswith(os.path.join(checkpoint_root(spark), "roadrisk") + "/"):
+        raise ValueError(f"not a scratch path: {path}")
+    drop_path(spark, path)

@@ -87,8 +87,7 @@ def accidents_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _read(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     c = _read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    # nation is a fixed 25-row dimension: a proven size bound, safe to broadcast.
-    n = F.broadcast(_read(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    n = _read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     # One row per customer key, stated with a groupBy: a query that never reads LOCALIDAD
     # then drops this left join altogether (Spark removes an outer join whose other side
     # is unique on the key and unused); one that reads it shuffles customers once, the
@@ -138,7 +137,7 @@ def killed_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.selectExpr(
         *PERSON_SQL,
         "CASE l_partkey % 3 WHEN 0 THEN 'S' WHEN 1 THEN 'N' END AS MUERTE_POSTERIOR",
-        "CAST(NULL AS BIGINT) AS FECHA_POSTERIOR_MUERTE",
+        f"CASE WHEN l_partkey % 3 = 0 THEN {accident_time_sql()} + (l_partkey % 20) * 86400000 END AS FECHA_POSTERIOR_MUERTE",
         f"{accident_time_sql()} AS FECHA_HORA_ACC", *GEOMETRY_SQL)
 
 
@@ -176,7 +175,7 @@ def actors_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "WHEN l_returnflag = 'R' THEN 'HERIDO' ELSE 'ILESO' END AS ESTADO",
         "CASE WHEN l_partkey % 41 = 0 THEN 'S' WHEN l_partkey % 2 = 0 THEN CAST(NULL AS STRING) "
         "ELSE 'N' END AS MUERTE_POSTERIOR",
-        "CAST(NULL AS BIGINT) AS FECHA_POSTERIOR_MUERTE")
+        "CASE WHEN l_partkey % 41 = 0 THEN 946684800000 + (l_partkey % 365) * 86400000 END AS FECHA_POSTERIOR_MUERTE")
 
 
 def causes_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -196,7 +195,7 @@ def causes_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def grid_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Corridor grid segments in file order: (pos, CIV, MVINOMBRE)."""
     c = _read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    n = F.broadcast(_read(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    n = _read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return c.join(n, c.c_nationkey == n.n_nationkey, "left").selectExpr(
         "c_custkey AS pos",
         "CAST(CASE WHEN c_custkey % 10 = 9 THEN c_custkey - 1 ELSE c_custkey END AS INT) AS CIV",

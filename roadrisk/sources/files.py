@@ -46,7 +46,8 @@ def land_pages(raw: DataFrame, path: str, layer: str, page_size: int = PAGE_SIZE
     feat = [F.struct(*[F.col(a) for a in attrs]).alias("attributes")]
     if layer in GEOMETRY_LAYERS:
         feat.append(F.struct(F.col("x"), F.col("y")).alias("geometry"))
-    page = F.floor(F.col("OBJECTID") / F.lit(page_size))
+    # features without an id are spread by their content, so they are no single page
+    page = F.coalesce(F.floor(F.col("OBJECTID") / F.lit(page_size)), -1 - F.pmod(F.xxhash64(*attrs), F.lit(4096)))
     # Rows are shuffled by page before the lists are built: a list never shrinks, so
     # building it map-side would only move the work before the shuffle (into whatever few
     # tasks read the input); pages are bounded, so the shuffle has no hot key.
@@ -58,33 +59,40 @@ def land_pages(raw: DataFrame, path: str, layer: str, page_size: int = PAGE_SIZE
 
 # --- S2: corridor grid -------------------------------------------------------------------------
 
-def read_corridor_grid(spark: SparkSession, path: str) -> DataFrame:
-    """GeoJSON feature collections -> (pos, CIV, MVINOMBRE) in file order.
+def read_corridor_grid(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+    """GeoJSON feature collections (plain files, indented or not) -> (pos, CIV, MVINOMBRE).
 
-    ``pos`` = page * page_size + position in the page, so the first-in-file rule (W1)
-    has a total order to work with.
+    ``pos`` orders features by file name, then by place in the file, so the first-in-file
+    rule (W1) has a total order. A file without features is an error. ``multiline=False``
+    reads one collection a line instead of one a file; a file then counts as one collection
+    per line, in no stated order of lines.
     """
-    from pyspark.sql.types import LongType, StructField, StructType
-    schema = StructType(GRID_PAGE_SCHEMA.fields + [StructField("page", LongType(), True),
-                                                   StructField("page_size", LongType(), True)])
-    pages = spark.read.schema(schema).json(path)
-    return (pages.select("page", "page_size", F.posexplode("features").alias("i", "f"))
-            .select((F.col("page") * F.col("page_size") + F.col("i")).alias("pos"),
+    pages = (spark.read.schema(GRID_PAGE_SCHEMA).option("multiLine", multiline).json(path)
+             .withColumn("file", F.col("_metadata.file_path")))
+    # one row a file: bounded by the number of files, and read from the metadata of the parse
+    files = pages.groupBy("file").agg(F.max(F.coalesce(F.size("features"), F.lit(0))).alias("most")).orderBy("file").collect()
+    empty = [r["file"] for r in files if r["most"] <= 0]
+    if empty or not files:
+        raise ValueError(f"no features in {empty or path}")
+    order = spark.createDataFrame([(r["file"], i) for i, r in enumerate(files)], "file string, file_pos long")
+    return (pages.join(order, "file").select("file_pos", F.posexplode("features").alias("i", "f"))
+            .select((F.col("file_pos") * F.lit(1 << 32) + F.col("i")).alias("pos"),
                     F.col("f.properties.MVICIV").alias("CIV"),
                     F.col("f.properties.MVINOMBRE").alias("MVINOMBRE")))
 
 
 def land_grid(grid: DataFrame, path: str, page_size: int = PAGE_SIZE) -> None:
-    """Write (pos, CIV, MVINOMBRE) rows as GeoJSON feature collections of ``page_size``
-    consecutive positions each (features sorted by position inside the page)."""
+    """Write (pos, CIV, MVINOMBRE) rows as plain GeoJSON files of ``page_size`` consecutive
+    positions each, file names in the order of positions."""
     feat = F.struct(F.col("pos"), F.struct(F.lit("Feature").alias("type"), F.struct(
         F.col("CIV").alias("MVICIV"), F.col("MVINOMBRE")).alias("properties")).alias("f"))
-    (grid.select(F.floor(F.col("pos") / page_size).cast("long").alias("page"), feat.alias("e"))
-     .groupBy("page").agg(F.array_sort(F.collect_list("e")).alias("es"))
-     .select(F.lit("FeatureCollection").alias("type"), "page",
-             F.lit(page_size).cast("long").alias("page_size"),
-             F.transform("es", lambda e: e["f"]).alias("features"))
-     .write.mode("overwrite").json(path))
+    pages = (grid.select(F.floor(F.col("pos") / page_size).cast("long").alias("page"), feat.alias("e"))
+             .groupBy("page").agg(F.array_sort(F.collect_list("e")).alias("es"))
+             .select(F.lit("FeatureCollection").alias("type"), "page", F.transform("es", lambda e: e["f"]).alias("features")))
+    # one collection a file: as many range partitions as pages, one record at most in each file
+    n = max(1, grid.select(F.floor(F.col("pos") / page_size)).distinct().count())
+    (pages.repartitionByRange(n, "page").sortWithinPartitions("page").drop("page")
+     .write.mode("overwrite").option("maxRecordsPerFile", 1).json(path))
 
 
 # --- U1 -----------------------------------------------------------------------------------------

@@ -105,3 +105,20 @@ def test_yeo_johnson_transform_matches_brute_force(feats):
             psi = np.log1p(x) if abs(lam) < 1e-12 else ((x + 1.0) ** lam - 1.0) / lam
             ll.append(round(-len(x) / 2.0 * np.log(psi.var()) + (lam - 1.0) * np.sum(np.log1p(x)), 6))
         assert abs(grid[int(np.argmax(ll))] - params[c]) < 1e-9
+
+
+def test_power_transform_searches_past_its_first_grid(spark):
+    """A left-skewed column whose best lambda is far outside [-3, 3]."""
+    import numpy as np
+
+    from roadrisk.functions.scaling import yeo_johnson_fit
+    x = 10 - np.random.default_rng(3).gamma(1.0, 0.4, 400)
+    df = spark.createDataFrame([(float(v),) for v in x], "accidentes double")
+    got = yeo_johnson_fit(df, ["accidentes"]).first()
+
+    def loglik(lam):
+        psi = ((x + 1) ** lam - 1) / lam
+        return -len(x) / 2 * np.log(psi.var()) + (lam - 1) * np.log1p(x).sum()
+
+    lams = np.arange(1, 100, 0.01)
+    assert got["lambda"] > 3 and abs(got["lambda"] - lams[np.argmax([loglik(v) for v in lams])]) < 0.02

@@ -25,13 +25,19 @@ def test_unused_lookup_joins_are_removed(spark):
     assert re.search(r"Join LeftOuter, \(o_custkey", f2)
 
 
-def test_monthly_key_check_prunes_partitions(spark, tables001, tmp_path):
-    from roadrisk.plans.load import month_predicate, with_accident_month, write_store
-    t = tables001
-    base = t.siniestros.filter(F.col("FECHA_ACC") <= F.lit(dt.date(2000, 11, 30)))
+def test_reports_on_a_store_read_only_the_window(spark, tables001, tmp_path):
+    """M1 and the cross-tab input on a store: the same rows, and a partition filter on every table read."""
+    from roadrisk.plans.features import build_features
+    from roadrisk.plans.load import StoreTables, with_accident_month, write_store
+    from roadrisk.plans.motorcycle import motorcycle_vehicle_rows
+    from roadrisk.schemas import CHILD_TABLES
+    t, end = tables001, dt.date(1997, 6, 30)
     store = str(tmp_path / "s")
-    write_store({"siniestros": base, "vehiculos": with_accident_month(t.vehiculos, base)}, store)
-    held = spark.read.parquet(store + "/vehiculos").filter(month_predicate([(2000, 11)])).select("FORMULARIO")
-    plan = held._jdf.queryExecution().executedPlan().toString()
-    filters = re.findall(r"PartitionFilters: \[([^\]]*)\]", plan)
-    assert filters and "ANO_OCURRENCIA_ACC" in filters[0] and "MES_NRO_OCURRENCIA_ACC" in filters[0]
+    write_store({"siniestros": t.siniestros, **{c: with_accident_month(t[c], t.siniestros) for c in CHILD_TABLES}}, store)
+    st = StoreTables(spark, store, t.grid, end, 1)
+    for make in (lambda x: build_features(x, end, 1), lambda x: motorcycle_vehicle_rows(x.siniestros, x.vehiculos, end, 1)):
+        assert sorted(map(str, make(st).collect())) == sorted(map(str, make(t).collect()))
+        plan = make(st)._jdf.queryExecution().executedPlan().toString()
+        scans = [x for x in plan.split("FileScan")[1:] if str(tmp_path) in x]
+        assert scans and all("part_year" in re.search(r"PartitionFilters: \[([^\]]*)\]", x)[1] for x in scans)
+    assert set(st.vehiculos.columns) == set(t.vehiculos.columns)

@@ -45,10 +45,12 @@ def test_crosstab_normalisations(spark):
 
 def test_initial_load_leaves_no_orphans(spark, tables001, tmp_path):
     from roadrisk.operators.integrity import orphan_counts
-    from roadrisk.plans.load import initial_load, read_store
+    from roadrisk.plans.load import initial_load, land_layers, read_store
     from roadrisk.schemas import ALL_TABLES, CHILD_TABLES
     store = str(tmp_path / "store")
-    initial_load(spark, {n: tables001.raw(n) for n in ALL_TABLES}, store, str(tmp_path / "landing"))
+    landing = land_layers({n: tables001.raw(n) for n in ALL_TABLES}, str(tmp_path / "landing"))
+    report = initial_load(spark, landing, store)
+    assert report["rows"]["siniestros"] == 1500 and not any(report["orphans"].values())
     st = read_store(spark, store)
     assert all(r.orphan_rows == 0 for r in orphan_counts({c: st[c] for c in CHILD_TABLES},
                                                          st["siniestros"]).collect())
