@@ -11,12 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadrisk.llm import decontaminate, jaccard, langid, line_templates, packing
+from roadrisk.llm.shipping import shipped
 from roadrisk.session import materialise
 
 #: Some stages have no SQL form (a trained classifier, a tokenizer, a packing fit).
 ORACLE_SQL = None
 
 
+@shipped
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, and those whose language is ambiguous, go."""
     model = langid.train(docs.where(~langid.held_out()))
@@ -24,6 +26,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.where((F.col("_lang_pred") != langid.UND) & ~F.col("_lang_ambiguous")).select(docs.columns)
 
 
+@shipped
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Recurring lines go, and with them documents that had nothing else."""
     found = line_templates.drop_recurring_lines(docs)
@@ -31,11 +34,13 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.where(left).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
+@shipped
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by n-gram similarity, directly or through others, one stays."""
     return jaccard.keep_one(docs).select(docs.columns)
 
 
+@shipped
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the benchmark contaminates go."""
     found = decontaminate.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -44,6 +49,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
             .select(docs.columns))
 
 
+@shipped
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document's pieces with the sequence and offset that they are packed to."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))

@@ -7,11 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from roadrisk.llm.shipping import shipped
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def register(fn):
-    QUERIES[fn.__name__] = fn
+    QUERIES[fn.__name__] = shipped(fn)
     return fn
 
 
