@@ -77,8 +77,10 @@ def dropped_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     variants = materialise(here.groupBy("_t_leaf", "_t_variant")
                            .agg(F.count(F.lit(1)).alias("_t_lines"), F.first("_t_masked").alias("_t_masked")), "line-variants")
     salt = F.pmod("_t_doc", F.lit(SALTS))  # a template of many documents is dealt to many tasks
+    # a table of its own, so that the join below has an exchange on both sides and a frequent variant can be split
+    names = materialise(templates(variants, similarity), "line-names")
     named = materialise(here.select("_t_doc", "_t_id", "_t_pos", "_t_leaf", "_t_variant")
-                        .join(templates(variants, similarity), ["_t_leaf", "_t_variant"])
+                        .join(names, ["_t_leaf", "_t_variant"])
                         .select("_t_doc", "_t_id", "_t_pos", "_t_template", salt.alias("_t_salt")), "line-templates")
     recurring = (named.groupBy("_t_template", "_t_salt", "_t_doc").agg(F.min(F.struct("_t_id", "_t_pos", "_t_doc")).alias("first"))
                  .groupBy("_t_template", "_t_salt").agg(F.count(F.lit(1)).alias("docs"), F.min("first").alias("first"))

@@ -29,7 +29,7 @@ def test_stages_on_hard_rows_and_none(spark):
 
 
 def test_contaminated_documents_go(spark):
-    item = duckdb.sql(f"SELECT text FROM '{SF}/benchmark.parquet' LIMIT 1").fetchone()[0]
+    item = duckdb.sql(f"SELECT text FROM '{SF}/benchmark.parquet' LIMIT 1").fetchall()[0][0]
     docs = frame(spark, [(1, item), (2, "a clean text of its own"), (3, None)], clash=False)
     kept = dict(corpus_pipeline.STAGES)["benchmark_decontamination"](spark, docs, SF).collect()
     assert sorted(r.doc_id for r in kept) == [2, 3]
