@@ -30,7 +30,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Recurring lines go, and with them documents that had nothing else."""
     found = line_templates.drop_recurring_lines(docs)
-    left = (F.col("n_dropped") == 0) | (F.length(F.trim("text")) > 0)
+    left = (F.col("n_dropped") == 0) | F.col("text").rlike(r"\S")
     return found.where(left).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
