@@ -9,7 +9,8 @@ stay linked across documents, whatever their separators, and whoever holds the k
 turn them back (``reveal``).
 
 Long numbers without a right check digit are permuted as plain digits. Overlapping
-candidates go to the first kind listed.
+candidates go to the first kind listed that holds at their start. A date that is right month
+first only is a kind of its own, permuted among such dates.
 
 Defined cases: a null text stays null, an empty one empty; an invalid date, IBAN or
 address is left alone; repeated values and rows get equal pseudonyms; an empty table
@@ -19,6 +20,7 @@ through (a ``pii`` of the input is replaced).
 
 from __future__ import annotations
 
+import bisect
 import datetime
 import hashlib
 import math
@@ -32,6 +34,8 @@ from pyspark.sql import types as T
 
 _ROUNDS = 10
 _FIRST_DAY, _DAYS = datetime.date(1900, 1, 1), 73049  # to 2099-12-31
+#: Days after the 12th, which can't be taken for a month.
+_LATE_DAYS = [n for n in range(_DAYS) if (_FIRST_DAY + datetime.timedelta(days=n)).day > 12]
 _RANGES = [("a", "z"), ("A", "Z"), ("0", "9"), ("à", "ö"), ("ø", "ÿ"), ("À", "Ö"), ("Ø", "Þ")]
 _ALPHABETS = ["".join(map(chr, range(ord(a), ord(z) + 1))) for a, z in _RANGES]
 _ALPHABET_OF = {c: a for a in _ALPHABETS for c in a}
@@ -146,6 +150,15 @@ def _date(p: Permuter, s: str, back: bool) -> str | None:
     return f"{new.day:02d}{s[-5]}{new.month:02d}{s[-5]}{new.year}"
 
 
+def _month_first(p: Permuter, s: str, back: bool) -> str | None:
+    m, d, y = re.split(r"[./-]", s)
+    n = _day(y, m, d)
+    if n is None or int(d) <= 12:  # else it is right day first, too
+        return None
+    new = _FIRST_DAY + datetime.timedelta(days=_LATE_DAYS[p.permute("date_month_first", len(_LATE_DAYS), bisect.bisect(_LATE_DAYS, n) - 1, back)])
+    return f"{new.month:02d}{s[2]}{new.day:02d}{s[2]}{new.year}"
+
+
 def _ssn(p: Permuter, s: str, back: bool) -> str | None:
     def known(x: str) -> bool:
         return x[:3] not in ("000", "666") and x[0] != "9" and x[3:5] != "00" and x[5:] != "0000"
@@ -180,27 +193,53 @@ KINDS = {
     "iban": (r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b", _iban),
     "ipv4": (r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)", _ipv4),
     "date": (r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{2}(?P<sep>[./-])\d{2}(?P=sep)\d{4})(?![\d/-])", _date),
+    "date_month_first": (r"(?<![\d./-])\d{2}(?P<sep2>[./-])\d{2}(?P=sep2)\d{4}(?![\d/-])", _month_first),
     "ssn": (r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", _ssn),
     "number": (r"(?<!\d)(?:\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5}|\d{13,19})(?!\d)", _number),
     "phone": (r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{4}(?!\d)", _phone),
 }
 _ANY = re.compile("|".join(f"(?P<{k}>{p})" for k, (p, _) in KINDS.items()))
-_MAYBE = r"\d[\d().\- ]{5,}\d|@|[A-Z]{2}\d{2}"
+_EACH = {k: re.compile(p) for k, (p, _) in KINDS.items()}
+
+
+def _without_context(pattern: str) -> str:
+    """The pattern for Arrow's matcher, which has no context or back-references: it matches
+    wherever the pattern does."""
+    pattern = re.sub(r"\(\?<?!(?:\[[^]]*\]|[^()\[\]])*\)|\\b", "", pattern)
+    pattern = re.sub(r"\(\?P<sep2?>(.*?)\)", r"\1", pattern)
+    pattern = re.sub(r"\(\?P=sep2?\)", "[./-]", pattern)
+    return pattern.replace(r"\d", r"\p{Nd}").replace(r"\w", r"\pL\pN_")
+
+
+#: Texts that a kind could match: derived, so that no kind is forgotten.
+_MAYBE = "|".join(f"(?:{_without_context(p)})" for p, _ in KINDS.values())
+
+
+def _value(text: str, m: re.Match, permuter: Permuter, back: bool) -> tuple[str, int, str] | None:
+    """(kind, end, new value) of the first kind that holds where ``m`` starts."""
+    kinds = list(KINDS)
+    for kind in kinds[next(i for i, k in enumerate(kinds) if m[k] is not None):]:
+        if c := _EACH[kind].match(text, m.start()):
+            new = KINDS[kind][1](permuter, c[0], back)
+            if new is not None:
+                return kind, c.end(), new
+    return None
 
 
 def replace(text: str, permuter: Permuter, back: bool = False) -> tuple[str, list[tuple[str, int, int]]]:
     """The text with every value permuted, and (kind, start, end) of each in the new text."""
-    out, spans, at, size = [], [], 0, 0
-    for m in _ANY.finditer(text):
-        kind = next(k for k in KINDS if m[k] is not None)
-        new = KINDS[kind][1](permuter, m[0], back)
-        if new is None:
+    out, spans, at, size, look = [], [], 0, 0, 0
+    while m := _ANY.search(text, look):
+        found = _value(text, m, permuter, back)
+        if found is None:
+            look = m.end()
             continue
+        kind, look, new = found
         out += [text[at:m.start()], new]
         size += m.start() - at
         spans.append((kind, size, size + len(new)))
         size += len(new)
-        at = m.end()
+        at = look
     out.append(text[at:])
     return "".join(out), spans
 
