@@ -9,7 +9,9 @@ stay linked across documents, whatever their separators, and whoever holds the k
 turn them back (``reveal``).
 
 Long numbers without a right check digit are permuted as plain digits. Overlapping
-candidates go to the first kind listed that holds at their start. A date that is right month
+candidates go to the first kind listed that holds at their start; where none does, the
+search goes on from the next character. An IBAN may end before its candidate does (the
+country's length first, then shorter endings, longest first). A date that is right month
 first only is a kind of its own, permuted among such dates.
 
 Defined cases: a null text stays null, an empty one empty; an invalid date, IBAN or
@@ -36,6 +38,11 @@ _ROUNDS = 10
 _FIRST_DAY, _DAYS = datetime.date(1900, 1, 1), 73049  # to 2099-12-31
 #: Days after the 12th, which can't be taken for a month.
 _LATE_DAYS = [n for n in range(_DAYS) if (_FIRST_DAY + datetime.timedelta(days=n)).day > 12]
+_IBAN_LENGTH = {x[:2]: int(x[2:]) for x in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 FI18 "
+    "FK18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 "
+    "LV21 LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 SC31 "
+    "SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30").split()}
 _RANGES = [("a", "z"), ("A", "Z"), ("0", "9"), ("à", "ö"), ("ø", "ÿ"), ("À", "Ö"), ("Ø", "Þ")]
 _ALPHABETS = ["".join(map(chr, range(ord(a), ord(z) + 1))) for a, z in _RANGES]
 _ALPHABET_OF = {c: a for a in _ALPHABETS for c in a}
@@ -122,6 +129,15 @@ def _ipv4(p: Permuter, s: str, back: bool) -> str | None:
     return ".".join(map(str, v.to_bytes(4, "big")))
 
 
+def _iban_ends(s: str) -> list[int]:
+    """Where an IBAN that begins the candidate may end: at its country's length, or before
+    a character that doesn't continue its last token."""
+    size = _IBAN_LENGTH.get(s[:2])
+    at = [i + 1 for i, c in enumerate(s) if c != " "]
+    fixed = at[size - 1:size] if size else []
+    return fixed + [i for i in reversed(at) if (i == len(s) or s[i] == " ") and i not in fixed]
+
+
 def _iban(p: Permuter, s: str, back: bool) -> str | None:
     flat = s.replace(" ", "").upper()
     country, check, rest = flat[:2], flat[2:4], flat[4:]
@@ -220,9 +236,10 @@ def _value(text: str, m: re.Match, permuter: Permuter, back: bool) -> tuple[str,
     kinds = list(KINDS)
     for kind in kinds[next(i for i, k in enumerate(kinds) if m[k] is not None):]:
         if c := _EACH[kind].match(text, m.start()):
-            new = KINDS[kind][1](permuter, c[0], back)
-            if new is not None:
-                return kind, c.end(), new
+            for size in _iban_ends(c[0]) if kind == "iban" else [len(c[0])]:
+                new = KINDS[kind][1](permuter, c[0][:size], back)
+                if new is not None:
+                    return kind, m.start() + size, new
     return None
 
 
@@ -232,7 +249,7 @@ def replace(text: str, permuter: Permuter, back: bool = False) -> tuple[str, lis
     while m := _ANY.search(text, look):
         found = _value(text, m, permuter, back)
         if found is None:
-            look = m.end()
+            look = m.start() + 1
             continue
         kind, look, new = found
         out += [text[at:m.start()], new]

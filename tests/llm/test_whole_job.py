@@ -1,4 +1,6 @@
 """Cases that an operator once left out."""
+import pytest
+
 from roadrisk.llm import pii
 
 #: A text for each kind, alone in it.
@@ -24,3 +26,19 @@ def test_dates_are_linked_in_any_separator_and_stay_in_their_order():
         assert x != a and [x[:2], x[3:5], x[6:]] == [y[:2], y[3:5], y[6:]]
     assert int(pii.replace("12/31/1999", p)[0][3:5]) > 12
     assert pii.replace("13/13/1999", p)[1] == []
+
+
+@pytest.mark.parametrize("after", [" NOW", " 2020", " I agree", " 2020 2021 NOW", "", ".", "NOW"])
+@pytest.mark.parametrize("iban", ["ES91 2100 0418 4502 0005 1332", "ES9121000418450200051332", "GB82 WEST 1234 5698 7654 32"])
+def test_an_iban_may_end_before_its_candidate(iban, after):
+    p = pii.Permuter(b"key")
+    new, spans = pii.replace("to " + iban + after, p)
+    assert spans == [("iban", 3, 3 + len(iban))] and new.endswith(after) and iban not in new
+    assert new[3:3 + len(iban)] == pii.replace(iban, p)[0]
+    assert pii.replace(new, p, back=True)[0] == "to " + iban + after
+
+
+def test_a_failed_candidate_hides_no_value_of_another_kind():
+    p = pii.Permuter(b"key")
+    new, spans = pii.replace("ID12 4111 1111 1111 1111", p)
+    assert spans == [("number", 5, 24)] and new[5:] == pii.replace("4111 1111 1111 1111", p)[0]
