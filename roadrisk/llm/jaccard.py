@@ -8,12 +8,13 @@ Small buckets are compared by brute force. A pair at the threshold survives a sp
 a known chance, so the number of runs follows from the target recall.
 
 Sets that still share a large bucket at full depth are near copies of each other in bulk.
-Such a bucket is dealt into random parts of bounded size, other ones in every run, where
-each set is compared with all others and proposes its nearest few: classes stay whole
-without all pairs of a group being listed, and ``n_links`` there counts the links kept.
-Comparisons use a 64-byte minwise sketch with a wide margin; every proposed pair is then
-verified on the exact sets. Linked classes are joined by alternating large and small
-stars on tables in the shared scratch folder.
+They make a group with all sets of the other large buckets that they are in. A group is cut
+into parts of bounded size, and every two parts are compared on the exact sets in one task:
+each set's links are counted, and of the links only a spanning forest is listed, so
+``n_links`` is the number of all links however large the group.
+In small buckets comparisons use a 64-byte minwise sketch with a wide margin; every proposed
+pair is then verified on the exact sets. Linked classes are joined by alternating large and
+small stars on tables in the shared scratch folder.
 
 Defined cases: two texts without words are copies (similarity 1); a text of fewer than
 five words is one shingle; null texts have no words; rows that share an id or a text each
@@ -39,8 +40,8 @@ THRESHOLD = 0.8
 TARGET_RECALL = 0.999
 DEPTH = 3
 LIMIT = 64
-PART = 256
-NEAREST = 3
+PART = 1024
+PART_SHINGLES = 2_000_000
 SKETCH = 64
 _M = np.uint64(0x9E3779B97F4A7C15)
 _SKETCH_MUL = np.random.default_rng(11).integers(1, 2**63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -141,71 +142,68 @@ def profiles(docs: DataFrame, *, id_col: str, text_col: str, threshold: float, r
                         F.col(text_col).alias("__text")).mapInArrow(run, schema))
 
 
-def _buckets(sets: DataFrame, limit: int) -> DataFrame:
-    """(path, node, size, part) of every bucket to compare: small ones at any depth, and
-    the parts of those still large at full depth."""
+def _buckets(sets: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
+    """(path, node) of the small buckets of any depth, and (a, b) of those still large at
+    full depth: each of their sets with the bucket's least."""
     found = []
     rows = sets.select("node", F.explode("p1").alias("path"))
     for depth in range(1, DEPTH + 1):
-        size = materialise(rows.groupBy("path").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), f"paths-{depth}")
-        here = size if depth == DEPTH else size.where(F.col("size") <= limit)
-        found.append(rows.join(here, "path"))
+        size = materialise(rows.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("least"))
+                           .where("size > 1"), f"paths-{depth}")
+        found.append(rows.join(size.where(F.col("size") <= limit), "path").select("path", "node"))
+        large = size.where(F.col("size") > limit)
         if depth < DEPTH:
-            large = size.where(F.col("size") > limit).select(F.col("path").alias("parent"))
             pairs = F.explode(F.arrays_zip(f"q{depth + 1}", f"p{depth + 1}")).alias("x")
             rows = (sets.select("node", pairs).select("node", F.col(f"x.q{depth + 1}").alias("parent"),
                                                       F.col(f"x.p{depth + 1}").alias("path"))
-                    .join(large, "parent", "left_semi").select("node", "path"))
+                    .join(large.select(F.col("path").alias("parent")), "parent", "left_semi").select("node", "path"))
             rows = materialise(rows, f"splits-{depth + 1}")  # read twice: for sizes and for buckets
     out = found[0]
     for x in found[1:]:
         out = out.unionByName(x)
-    parts = F.ceil(F.col("size") / PART).cast("long")
-    return out.withColumn("part", F.when(F.col("size") > PART, F.pmod(F.xxhash64("path", "node"), parts)).otherwise(0).cast("long"))
+    near = rows.join(large, "path").where("node != least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
+    return out, near
 
 
-def candidates(sets: DataFrame, *, threshold: float, limit: int) -> DataFrame:
-    """(a, b) with a < b: pairs of classes whose sketches allow the threshold."""
-    rows = _buckets(sets, limit).join(sets.select("node", "sketch"), "node")
-    # a bucket's part has PART sets on average; its rows come together by key, in order
-    rows = rows.select("path", "part", "size", "node", "sketch").repartition("path", "part").sortWithinPartitions("path", "part", "node")
+def _agreeing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many of their sketch bytes each two sets share."""
+    same = np.zeros((len(x), len(y)), np.uint8)
+    for k in range(SKETCH):
+        same += x[:, k, None] == y[None, :, k]
+    return same
+
+
+def _least(threshold: float) -> int:
+    """Sketch bytes that sets at the threshold share nearly always."""
     spread = 4 * math.sqrt(threshold * (1 - threshold) / SKETCH)
-    least = int(math.floor((threshold - spread) * SKETCH))
-
-    def pairs(names, sketches, size):
-        same = np.zeros((len(names), len(names)), np.int16)
-        for k in range(SKETCH):
-            same += sketches[:, k, None] == sketches[None, :, k]
-        np.fill_diagonal(same, -1)
-        if size <= limit:
-            i, j = np.nonzero(np.triu(same >= least, 1))
-        else:  # each proposes its nearest
-            near = np.argsort(-same, axis=1, kind="stable")[:, :NEAREST]
-            i = np.repeat(np.arange(len(names)), near.shape[1])
-            j = near.ravel()
-            ok = same[i, j] >= least
-            i, j = i[ok], j[ok]
-        for x, y in {(min(x, y), max(x, y)) for x, y in zip(i.tolist(), j.tolist())}:
-            yield names[x], names[y]
+    return int(math.floor((threshold - spread) * SKETCH))
+
+
+def candidates(buckets: DataFrame, sets: DataFrame, *, threshold: float, limit: int) -> DataFrame:
+    """(a, b) with a < b: pairs of classes in a small bucket whose sketches allow the threshold."""
+    rows = buckets.join(sets.select("node", "sketch"), "node")
+    # a bucket has ``limit`` sets at most; its rows come together by key, in order
+    rows = rows.select("path", "node", "sketch").repartition("path").sortWithinPartitions("path", "node")
+    least = _least(threshold)
 
     def run(batches):
-        path = part = size = None
+        path = None
         names: list[str] = []
         sketches: list[bytes] = []
 
         def group():
-            for lo in range(0, len(names), 2 * PART):  # a part above twice its mean is cut again
-                cut = slice(lo, lo + 2 * PART)
-                s = np.frombuffer(b"".join(sketches[cut]), np.uint8).reshape(-1, SKETCH)
-                yield from pairs(names[cut], s, size)
+            s = np.frombuffer(b"".join(sketches), np.uint8).reshape(-1, SKETCH)
+            i, j = np.nonzero(np.triu(_agreeing(s, s) >= least, 1))
+            for x, y in zip(i.tolist(), j.tolist()):
+                yield names[x], names[y]
 
         for b in batches:
             found = set()
-            for p, q, z, node, sketch in zip(*(c.to_pylist() for c in b.columns)):
-                if (p, q) != (path, part):
+            for p, node, sketch in zip(*(c.to_pylist() for c in b.columns)):
+                if p != path:
                     if len(names) > 1:
                         found.update(group())
-                    path, part, size, names, sketches = p, q, z, [], []
+                    path, names, sketches = p, [], []
                 names.append(node)
                 sketches.append(sketch)
             yield _pairs_batch(found)
@@ -221,8 +219,8 @@ def _pairs_batch(found: set[tuple[str, str]]) -> pa.RecordBatch:
                            names=["a", "b"])
 
 
-def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, *, text_col: str, threshold: float) -> DataFrame:
-    """(a, b, similarity) of the pairs at the threshold, from the exact shingle sets."""
+def _exact(nodes: DataFrame, sets: DataFrame, docs: DataFrame, *, text_col: str, name: str) -> DataFrame:
+    """(node, h) of the nodes: their exact shingle sets, as sorted hashes."""
     def shingles(batches):
         for b in batches:
             for lo, hi, w in batch_words(b.column(1)):
@@ -231,11 +229,16 @@ def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, *, text_col: st
                                        pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(h.view(np.int64)))],
                                       names=["node", "h"])
 
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    keys = sets.select("node", "text_key").join(wanted, "node", "left_semi")
+    keys = sets.select("node", "text_key").join(nodes, "node", "left_semi")
     texts = docs.select(F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_key"), F.col(text_col).alias("text"))
-    exact = materialise(texts.join(keys, "text_key").groupBy("node").agg(F.first("text").alias("text"))
-                        .mapInArrow(shingles, "node string, h array<long>"), "jaccard-sets")
+    return materialise(texts.join(keys, "text_key").groupBy("node").agg(F.first("text").alias("text"))
+                       .mapInArrow(shingles, "node string, h array<long>"), name)
+
+
+def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, *, text_col: str, threshold: float) -> DataFrame:
+    """(a, b, similarity) of the pairs at the threshold, from the exact shingle sets."""
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    exact = _exact(wanted, sets, docs, text_col=text_col, name="jaccard-sets")
     both = (pairs.join(exact.select(F.col("node").alias("a"), F.col("h").alias("ha")), "a")
             .join(exact.select(F.col("node").alias("b"), F.col("h").alias("hb")), "b"))
 
@@ -255,6 +258,104 @@ def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, *, text_col: st
     return both.select("a", "b", "ha", "hb").mapInArrow(compare, "a string, b string, similarity double")
 
 
+def _shared(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each set of ``x`` shares with each of ``y``."""
+    hx, hy = np.concatenate(x), np.concatenate(y)
+    both = np.intersect1d(hx, hy)
+    out = np.zeros((len(x), len(y)), np.float32)
+    places = []
+    for sets, h in ((x, hx), (y, hy)):
+        row = np.repeat(np.arange(len(sets)), [len(v) for v in sets])
+        at = np.minimum(np.searchsorted(both, h), max(0, len(both) - 1))
+        mine = both[at] == h if len(both) else np.zeros(len(h), bool)
+        order = np.argsort(at[mine], kind="stable")
+        places.append((row[mine][order], at[mine][order]))
+    for lo in range(0, len(both), 4096):  # sums of whole numbers under 2 ** 24 are exact
+        dense = []
+        for sets, (row, at) in zip((x, y), places):
+            cut = slice(*np.searchsorted(at, [lo, lo + 4096]))
+            d = np.zeros((len(sets), min(4096, len(both) - lo)), np.float32)
+            d[row[cut], at[cut] - lo] = 1
+            dense.append(d)
+        out += dense[0] @ dense[1].T
+    return out
+
+
+def _linked(x: list[np.ndarray], y: list[np.ndarray], sx: np.ndarray, sy: np.ndarray, threshold: float) -> np.ndarray:
+    """Which sets of ``x`` are at the threshold with which of ``y``; only rows and columns
+    with a pair that the sketches allow are compared exactly."""
+    may = _agreeing(sx, sy) >= _least(threshold)
+    out = np.zeros(may.shape, bool)
+    i, j = np.flatnonzero(may.any(axis=1)), np.flatnonzero(may.any(axis=0))
+    if len(i):
+        inter = _shared([x[k] for k in i], [y[k] for k in j]).astype(np.float64)
+        nx, ny = np.array([len(x[k]) for k in i]), np.array([len(y[k]) for k in j])
+        out[np.ix_(i, j)] = (inter / (nx[:, None] + ny[None, :] - inter) >= threshold - 1e-12) & may[np.ix_(i, j)]
+    return out
+
+
+def _forest(near: np.ndarray) -> list[tuple[int, int]]:
+    """Edges that span each connected part of a symmetric relation."""
+    edges, new = [], np.ones(len(near), bool)
+    for start in range(len(near)):
+        todo = [start] if new[start] else []
+        new[start] = False
+        while todo:
+            u = todo.pop()
+            found = np.flatnonzero(near[u] & new)
+            new[found] = False
+            todo += found.tolist()
+            edges += [(u, v) for v in found.tolist()]
+    return edges
+
+
+def group_links(groups: DataFrame, sets: DataFrame, docs: DataFrame, *, text_col: str, threshold: float) -> DataFrame:
+    """(a, b, n) of the groups (node, root): with b, a link of a spanning forest of two
+    parts; without, that a has n links to sets of such parts. Sets of every two parts meet
+    once, so the sum of n counts every link of a within its group."""
+    exact = _exact(groups, sets, docs, text_col=text_col, name="jaccard-group-sets")
+    here = groups.join(sets.select("node", "n", "sketch"), "node")
+    parts = here.groupBy("root").agg(F.ceil(F.greatest(F.count(F.lit(1)) / PART, F.sum("n") / PART_SHINGLES)).cast("long").alias("parts"))
+    rows = (here.join(parts, "root").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
+            .join(exact, "node")
+            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+            .select("root", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "node", "sketch", "h")
+            .repartition("root", "i", "j").sortWithinPartitions("root", "i", "j", "part", "node"))
+
+    def links(key, part, names, sketches, hashes) -> pa.RecordBatch:
+        s = np.frombuffer(b"".join(sketches), np.uint8).reshape(-1, SKETCH)
+        near = np.zeros((len(names), len(names)), bool)
+        cut = part.count(key[1])  # the sets of part i come first
+        if key[1] == key[2]:
+            near = _linked(hashes, hashes, s, s, threshold)
+            np.fill_diagonal(near, False)
+        elif 0 < cut < len(names):
+            near[:cut, cut:] = _linked(hashes[:cut], hashes[cut:], s[:cut], s[cut:], threshold)
+            near |= near.T
+        n = near.sum(axis=1)
+        some = np.flatnonzero(n).tolist()
+        edges = _forest(near)
+        return pa.record_batch([pa.array([names[u] for u, _ in edges] + [names[u] for u in some], pa.string()),
+                                pa.array([names[v] for _, v in edges] + [None] * len(some), pa.string()),
+                                pa.array([0] * len(edges) + [int(n[u]) for u in some], pa.int64())], names=["a", "b", "n"])
+
+    def run(batches):
+        key, got = None, ([], [], [], [])
+        for b in batches:
+            h, off = b.column(6).values.to_numpy(), b.column(6).offsets.to_numpy()
+            for r, (root, i, j, part, node, sketch) in enumerate(zip(*(c.to_pylist() for c in b.columns[:6]))):
+                if (root, i, j) != key:
+                    if key:
+                        yield links(key, *got)
+                    key, got = (root, i, j), ([], [], [], [])
+                for x, v in zip(got, (part, node, sketch, h[off[r]:off[r + 1]].copy())):
+                    x.append(v)
+        if key:
+            yield links(key, *got)
+
+    return rows.mapInArrow(run, "a string, b string, n long")
+
+
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, root): the least node of each node's connected component."""
     edges = materialise(links.select("a", "b"), "stars")
@@ -283,10 +384,19 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     sets = materialise(base.groupBy("node").agg(
         F.first(F.struct("text_key", "n", "sketch", "p1", "q2", "p2", "q3", "p3")).alias("s"),
         F.min("id").alias("low_id"), F.count(F.lit(1)).alias("rows")).select("node", "s.*", "low_id", "rows"), "jaccard-classes")
-    pairs = materialise(candidates(sets.where("n > 0"), threshold=threshold, limit=limit), "jaccard-candidates")
+    small, near = _buckets(sets.where("n > 0"), limit)
+    groups = components(materialise(near, "jaccard-near"))  # without the roots themselves
+    groups = groups.union(groups.select("root", "root").distinct())
+    inside = materialise(group_links(groups, sets, docs, text_col=text_col, threshold=threshold), "jaccard-group-links")
+    pairs = candidates(small, sets, threshold=threshold, limit=limit)
+    of = {c: groups.select(F.col("node").alias(c), F.col("root").alias(f"group_{c}")) for c in "ab"}
+    pairs = materialise(pairs.join(of["a"], "a", "left").join(of["b"], "b", "left")  # pairs of a group are counted there
+                        .where("group_a is null or group_b is null or group_a != group_b").select("a", "b"), "jaccard-candidates")
     links = materialise(verified(pairs, sets, docs, text_col=text_col, threshold=threshold), "jaccard-links")
-    roots = components(links)
-    degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
+    roots = components(links.select("a", "b").union(inside.where("b is not null").select("a", "b")))
+    one = F.lit(1).cast("long")
+    degree = (links.select(F.col("a").alias("node"), one.alias("n")).union(links.select("b", one))
+              .union(inside.where("b is null").select("a", "n")).groupBy("node").agg(F.sum("n").alias("n_links")))
     found = (sets.select("node", "low_id", "rows").join(roots, "node", "left").join(degree, "node", "left")
              .select("node", "low_id", "rows", F.coalesce("root", "node").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
     return base.select("id", "text_key", "node"), materialise(found, "jaccard-components")

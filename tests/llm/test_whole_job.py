@@ -1,7 +1,10 @@
 """Cases that an operator once left out."""
+import random
+
 import pytest
+from helpers import frame, shingles
 
-from roadrisk.llm import pii
+from roadrisk.llm import jaccard, pii
 
 #: A text for each kind, alone in it.
 ALONE = {"email": "write to é@x.example now", "iban": "to ES9121000418450200051332 please", "ipv4": "from 10.20.30.40 on",
@@ -42,3 +45,32 @@ def test_a_failed_candidate_hides_no_value_of_another_kind():
     p = pii.Permuter(b"key")
     new, spans = pii.replace("ID12 4111 1111 1111 1111", p)
     assert spans == [("number", 5, 24)] and new[5:] == pii.replace("4111 1111 1111 1111", p)[0]
+
+
+def test_jaccard_counts_every_link_of_large_groups(spark, monkeypatch):
+    """Two versions of a text, over 64 variants each, and copies: as brute force, links included."""
+    rng = random.Random(5)
+    first = [f"t{rng.randrange(10**6)}" for _ in range(300)]
+    second = first[:200] + [f"s{rng.randrange(10**6)}" for _ in range(100)]
+    rows = []
+    for i in range(220):
+        w = list((first, second)[i % 2])
+        for _ in range(rng.randrange(1, 5)):
+            w[rng.randrange(300)] = f"new{i}"
+        rows.append((i, " ".join(w)))
+    rows += [(500 + i, rows[i][1]) for i in range(5)]
+    sets = {i: shingles(t) for i, t in rows}
+    linked = {i: {j for j in sets if sets[i] != sets[j] and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])} for i in sets}
+    lowest = {}
+    for i in sorted(sets):
+        todo = [i]
+        while todo:
+            x = todo.pop()
+            if x not in lowest:
+                lowest[x] = i
+                todo += linked[x] | {j for j in sets if sets[j] == sets[x]}
+    want = {i: (lowest[i], len({sets[j] for j in linked[i]})) for i in sets}
+    assert len(set(lowest.values())) == 2 and max(n for _, n in want.values()) > 64
+    for part in (jaccard.PART, 50):  # in one part, and in several
+        monkeypatch.setattr(jaccard, "PART", part)
+        assert {r.doc_id: (r.class_id, r.n_links) for r in jaccard.near_duplicates(frame(spark, rows)).collect()} == want
