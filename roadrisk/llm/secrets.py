@@ -62,10 +62,9 @@ def corpus_statistics(docs: DataFrame, text_col: str, dictionary: int) -> tuple[
                 at = np.flatnonzero(inner & (s > 0))
                 table += np.bincount(s[at - 1] * _SYMBOLS + s[at], minlength=len(table))
                 _, first, n = np.unique(w.hash, return_index=True, return_counts=True)
-                often = np.flatnonzero((n >= 4) & (w.end[first] - w.start[first] >= 2) & (w.end[first] - w.start[first] <= 24))
-                often = often[np.argsort(-n[often], kind="stable")[:3000]]
-                yield pa.record_batch([pa.array([w.low[w.start[i]:w.end[i]].tobytes().decode("utf8", "replace") for i in first[often]], pa.string()),
-                                       pa.array(n[often].astype(np.int64))], names=["k", "n"])
+                fits = np.flatnonzero((w.end[first] - w.start[first] >= 2) & (w.end[first] - w.start[first] <= 24))
+                yield pa.record_batch([pa.array([w.low[w.start[i]:w.end[i]].tobytes().decode("utf8", "replace") for i in first[fits]], pa.string()),
+                                       pa.array(n[fits].astype(np.int64))], names=["k", "n"])
         cells = np.flatnonzero(table)
         yield pa.record_batch([pa.array([f"\t{c}" for c in cells], pa.string()), pa.array(table[cells])], names=["k", "n"])
 

@@ -4,7 +4,7 @@ import random
 import pytest
 from helpers import frame, shingles
 
-from roadrisk.llm import jaccard, pii
+from roadrisk.llm import jaccard, pii, secrets
 
 #: A text for each kind, alone in it.
 ALONE = {"email": "write to é@x.example now", "iban": "to ES9121000418450200051332 please", "ipv4": "from 10.20.30.40 on",
@@ -74,3 +74,12 @@ def test_jaccard_counts_every_link_of_large_groups(spark, monkeypatch):
     for part in (jaccard.PART, 50):  # in one part, and in several
         monkeypatch.setattr(jaccard, "PART", part)
         assert {r.doc_id: (r.class_id, r.n_links) for r in jaccard.near_duplicates(frame(spark, rows)).collect()} == want
+
+
+def test_dictionary_counts_words_that_are_rare_in_every_chunk(spark):
+    """A word three times in each of several chunks is among the most frequent of the corpus."""
+    many = " ".join(f"w{i:04d}" for i in range(3500))
+    docs = spark.createDataFrame([(f"{many} seldom seldom seldom" if i else "once",) for i in range(4)], "text string").repartition(4)
+    assert secrets.corpus_statistics(docs, "text", 1)[1] == {"seldom"}
+    words = secrets.corpus_statistics(docs, "text", 20_000)[1]
+    assert len(words) == 3502 and {"seldom", "once", "w0000", "w3499"} <= words
