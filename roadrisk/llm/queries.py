@@ -96,3 +96,15 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from roadrisk.llm.secrets import certain_findings, scan
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return scan(docs, lambda found: certain_findings(found.where(~held_out())), key=PSEUDONYM_KEY, path_col="source")
+
+
+@register
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from roadrisk.llm.quality_vote import held_out, quality_votes
+    out = quality_votes(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                        table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    return out.select("doc_id", held_out().alias("held_out"), "score",
+                      F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+                      "neighbours", "best_cosine", "nearest_id", "nearest_label")
