@@ -108,3 +108,13 @@ def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out().alias("held_out"), "score",
                       F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
                       "neighbours", "best_cosine", "nearest_id", "nearest_label")
+
+
+#: Of how many (document, run) pairs one loses a letter, by the query's contract.
+SLIP = 97
+
+
+@register
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from roadrisk.llm.spelling import spelling_variants
+    return spelling_variants(table(spark, sf_dir, "documents").select("doc_id", "text"), slip=SLIP)
