@@ -118,3 +118,10 @@ SLIP = 97
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     from roadrisk.llm.spelling import spelling_variants
     return spelling_variants(table(spark, sf_dir, "documents").select("doc_id", "text"), slip=SLIP)
+
+
+@register
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from roadrisk.llm.alignment import alignment
+    return alignment(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                     public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
