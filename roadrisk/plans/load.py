@@ -1,5 +1,5 @@
-"""Loads: the initial bulk load (R4) and the idempotent monthly append (K5), and deleting
-accidents with all their rows (K4).
+"""Loads: the initial bulk load (R4) and the idempotent monthly append (K5). Corrections of
+stored rows (K5) and deletes (K4) are in ``plans.merge``.
 
 R4:  landed page folders -> read (S1) -> cleaning (F1-F8), accidents staged first -> children
      joined to the staged accident keys (J5) -> integrity checks (K1, K3) -> one write a table (S6).
@@ -14,8 +14,9 @@ An accident without a date, and its child rows, lie in the null partition.
 
 The integrity checks run *before* any write and raise on a violation, so a bad batch
 leaves the store untouched. The append adds nothing twice: an accident's key is looked up
-among all stored keys whatever its month (a later correction of a stored accident isn't
-applied), and of equal child rows only as many are added as the store lacks.
+among all stored keys whatever its month (a correction of a stored accident is
+``plans.merge.merge_batch``'s work), and of equal child rows only as many are added as the
+store lacks.
 """
 
 from __future__ import annotations
@@ -29,12 +30,11 @@ from roadrisk.functions.calendar import as_date, previous_month_filter, window_s
 from roadrisk.functions.cleaning import CLEANERS
 from roadrisk.operators.integrity import pk_violations
 from roadrisk.schemas import ALL_TABLES, CHILD_TABLES, VARCHAR_LIMITS
-from roadrisk.session import drop_path, drop_scratch, scratch_path
+from roadrisk.plans.commit import PARTITIONS, recover
+from roadrisk.session import drop_scratch, scratch_path
 from roadrisk.sources.files import (append_table, land_pages, read_feature_json, stage_read,
                                     stage_write)
 
-PARTITIONS = ["part_year", "part_month"]
-
 
 class IntegrityError(RuntimeError):
     pass
@@ -202,6 +202,7 @@ def incremental_append(spark: SparkSession, store_dir: str, accidents_raw: DataF
                        children_raw: dict[str, DataFrame], today=None) -> dict[str, int]:
     """K5: append one month (the month before ``today``; all rows when ``today`` is None).
     Returns the rows added by table."""
+    recover(spark, store_dir)
     stage = scratch_path(spark, "month-stage")
     try:
         acc = CLEANERS["siniestros"](accidents_raw)
@@ -224,6 +225,7 @@ def incremental_append(spark: SparkSession, store_dir: str, accidents_raw: DataF
 def append_late_children(spark: SparkSession, store_dir: str, children_raw: dict[str, DataFrame]) -> dict[str, int]:
     """K5: child rows that came after their accident was stored. Rows of accidents that
     aren't stored are left for the accident's own append."""
+    recover(spark, store_dir)
     stage = scratch_path(spark, "late-stage")
     try:
         known = read_store(spark, store_dir, partitions=True)["siniestros"].select("FORMULARIO", *PARTITIONS)
@@ -235,40 +237,6 @@ def append_late_children(spark: SparkSession, store_dir: str, children_raw: dict
         drop_scratch(spark, stage)
 
 
-def delete_accidents(spark: SparkSession, store_dir: str, doomed: DataFrame) -> dict[str, int]:
-    """K4: delete accidents (by FORMULARIO) and all their child rows from the store; returns
-    the rows deleted by table. Only the months of these accidents are rewritten: their
-    surviving rows are staged, then replace the month's partitions, children first."""
-    stored = read_store(spark, store_dir, partitions=True)
-    stage = scratch_path(spark, "delete-stage")
-    try:
-        keys = stored["siniestros"].select("FORMULARIO", *PARTITIONS).join(doomed.select("FORMULARIO").distinct(), "FORMULARIO", "left_semi")
-        stage_write(keys, stage, "keys")
-        keys = stage_read(spark, stage, "keys")
-        months = keys.select(*PARTITIONS).distinct()
-        gone = {}
-        same = reduce(Column.__and__, [F.col(f"s.{p}").eqNullSafe(F.col(f"m.{p}")) for p in PARTITIONS])
-        for name, df in stored.items():
-            here = df.alias("s").join(months.alias("m"), same, "left_semi")
-            before = Observation()
-            stage_write(here.observe(before, F.count(F.lit(1)).alias("n")).join(keys.select("FORMULARIO"), "FORMULARIO", "left_anti"), stage, name)
-            gone[name] = before.get["n"] - stage_read(spark, stage, name).count()
-        for name in [*CHILD_TABLES, "siniestros"]:
-            if not gone[name]:
-                continue
-            path, left = f"{store_dir.rstrip('/')}/{name}", stage_read(spark, stage, name)
-            (left.hint("rebalance", *PARTITIONS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy(*PARTITIONS).parquet(path))
-            # a month without survivors isn't written, so its folder still has the old rows
-            kept = {(r[0], r[1]) for r in left.select(*PARTITIONS).distinct().collect()}  # a row a month
-            for y, m in {(r[0], r[1]) for r in months.collect()} - kept:
-                part = "/".join(f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for c, v in zip(PARTITIONS, (y, m)))
-                drop_path(spark, f"{path}/{part}")
-        return gone
-    finally:
-        drop_scratch(spark, stage)
-
-
 def store_counts(spark: SparkSession, store_dir: str) -> DataFrame:
     """Rows per stored table (table_name, rows)."""
     parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table_name"), "rows")

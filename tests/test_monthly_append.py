@@ -79,7 +79,8 @@ def test_child_rows_keep_their_own_date(spark, tables001, store):
 
 
 def test_delete_removes_accidents_and_children(spark, tables001, store):
-    from roadrisk.plans.load import delete_accidents, read_store
+    from roadrisk.plans.load import read_store
+    from roadrisk.plans.merge import delete_accidents
     before = read_store(spark, store)["siniestros"]
     month = before.where("ANO_OCURRENCIA_ACC = 1996 AND MES_NRO_OCURRENCIA_ACC = 3").select("FORMULARIO")
     some = before.where("ANO_OCURRENCIA_ACC = 1997").orderBy("FORMULARIO").limit(5).select("FORMULARIO")
