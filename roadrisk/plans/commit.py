@@ -18,6 +18,8 @@ from __future__ import annotations
 import json
 import os
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -57,13 +59,21 @@ def months_of(df: DataFrame) -> dict[Month, int]:
     return {(r[0], r[1]): r["n"] for r in df.groupBy(*PARTITIONS).agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
+def side_by_side(work: Callable[[str], None], names: Iterable[str]) -> None:
+    """The jobs of independent tables at the same time, a thread a table."""
+    with ThreadPoolExecutor(max_workers=6) as pool:
+        list(pool.map(work, names))
+
+
 def commit(spark: SparkSession, store_dir: str, changes: dict[str, Change]) -> dict[str, tuple[int, int]]:
     """Apply the changes to all tables; returns (rows gone, rows come) of each."""
     recover(spark, store_dir)
     path = f"{store_dir.rstrip('/')}/{FOLDER}/{uuid.uuid4().hex}"
     plan, counts = {}, {}
     fs, p = _fs(spark, path)
-    for name, change in changes.items():
+
+    def stage(name: str) -> None:
+        change = changes[name]
         stored = spark.read.parquet(f"{store_dir.rstrip('/')}/{name}")
         hit = []
         for k, (cols, keys) in enumerate(change.gone):
@@ -75,7 +85,7 @@ def commit(spark: SparkSession, store_dir: str, changes: dict[str, Change]) -> d
         gain = months_of(change.new) if change.new is not None else {}
         counts[name] = (sum(lose.values()), sum(gain.values()))
         if not lose and not gain:
-            continue
+            return
         rows = stored.where(in_months(list(lose)))
         for cols, keys in change.gone:
             rows = rows.join(keys.select(*cols).distinct(), cols, "left_anti")
@@ -83,10 +93,12 @@ def commit(spark: SparkSession, store_dir: str, changes: dict[str, Change]) -> d
         if gain:
             rows = rows.unionByName(change.new.select(*stored.columns))
         rows.hint("rebalance", *PARTITIONS).write.partitionBy(*PARTITIONS).parquet(f"{path}/{name}")
-        left = lambda m: m in gain or fs.exists(p(f"{path}/{name}/{_folder(m)}"))  # noqa: B023, E731
+        left = lambda m: m in gain or fs.exists(p(f"{path}/{name}/{_folder(m)}"))
         plan[name] = [[list(m), ("replace" if left(m) else "drop") if m in lose else "add"] for m in sorted({*lose, *gain}, key=str)]
+
+    side_by_side(stage, changes)
     if plan:
-        _seal(spark, path, plan)
+        _seal(spark, path, {n: plan[n] for n in changes if n in plan})
         finish(spark, store_dir, path)
     return counts
 

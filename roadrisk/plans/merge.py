@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from roadrisk.functions.calendar import previous_month_filter
 from roadrisk.functions.cleaning import CLEANERS
-from roadrisk.plans.commit import PARTITIONS, Change, commit, in_months, months_of, recover
+from roadrisk.plans.commit import PARTITIONS, Change, commit, in_months, months_of, recover, side_by_side
 from roadrisk.plans.load import check_batch, in_own_month, missing_rows, read_store
 from roadrisk.schemas import CHILD_TABLES
 from roadrisk.session import drop_scratch, scratch_path
@@ -71,11 +71,14 @@ def merge_batch(spark: SparkSession, store_dir: str, accidents_raw: DataFrame, c
             acc = previous_month_filter(acc, today)
         stage_write(in_own_month(latest(acc, KEY, version)), stage, "batch")
         batch = stage_read(spark, stage, "batch")
-        for child, raw in children_raw.items():
-            rows = CLEANERS[child](raw)
+
+        def stage_child(child: str) -> None:
+            rows = CLEANERS[child](children_raw[child])
             keyed = latest(rows.where("OBJECTID IS NOT NULL"), "OBJECTID", version)
             free = rows.where("OBJECTID IS NULL").select(*keyed.columns)
             stage_write(keyed.unionByName(free), stage, child)
+
+        side_by_side(stage_child, children_raw)
         kids = {c: stage_read(spark, stage, c) for c in children_raw}
         stored = read_store(spark, store_dir, partitions=True)
 
@@ -98,7 +101,9 @@ def merge_batch(spark: SparkSession, store_dir: str, accidents_raw: DataFrame, c
         fresh = stage_read(spark, stage, "new-siniestros")
         changes = {"siniestros": Change([([KEY], fresh)], fresh)}
         orphans = {}
-        for child, rows in kids.items():
+
+        def child_change(child: str) -> None:
+            rows = kids[child]
             placed = rows.join(place.select(KEY, *PARTITIONS), KEY).select(*rows.columns, *PARTITIONS)
             orphans[child] = rows.join(place.select(KEY), KEY, "left_anti").count()
             keyed, free = placed.where("OBJECTID IS NOT NULL"), placed.where("OBJECTID IS NULL")
@@ -114,6 +119,8 @@ def merge_batch(spark: SparkSession, store_dir: str, accidents_raw: DataFrame, c
             lacking = lacking.join(place.select(KEY, *PARTITIONS), KEY).select(*placed.columns)
             stage_write(fresh.unionByName(follow).unionByName(lacking), stage, f"all-{child}")
             changes[child] = Change([(["OBJECTID"], fresh), ([KEY], moved)], stage_read(spark, stage, f"all-{child}"))
+
+        side_by_side(child_change, kids)
         check_batch({n: c.new.drop(*PARTITIONS) for n, c in changes.items()})
         # children first: their accident is there before or comes with the same change
         counts = commit(spark, store_dir, {n: changes[n] for n in [*children_raw, "siniestros"]})
