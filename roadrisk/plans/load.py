@@ -32,8 +32,8 @@ from roadrisk.operators.integrity import pk_violations
 from roadrisk.schemas import ALL_TABLES, CHILD_TABLES, VARCHAR_LIMITS
 from roadrisk.plans.commit import PARTITIONS, recover
 from roadrisk.session import drop_scratch, scratch_path
-from roadrisk.sources.files import (append_table, land_pages, read_feature_json, stage_read,
-                                    stage_write)
+from roadrisk.sources.files import (append_table, bad_pages, flatten_pages, land_pages, read_pages,
+                                    stage_read, stage_write)
 
 
 class IntegrityError(RuntimeError):
@@ -138,31 +138,60 @@ def land_layers(raw: dict[str, DataFrame], landing_dir: str) -> dict[str, str]:
     return paths
 
 
-def initial_load(spark: SparkSession, landing: dict[str, str], store_dir: str, multiline: bool = False) -> dict[str, dict[str, int]]:
+class BadPages(RuntimeError):
+    """Landed pages that can't be loaded."""
+
+
+def _observed(seen: Observation, pages: DataFrame, name: str, what: Column) -> int:
+    """An observed count; counted anew where Spark left the observed part of a plan out
+    (because nothing could come of it)."""
+    try:
+        return seen.get[name]
+    except Exception:  # no metrics arrived
+        return pages.agg(what).first()[0]
+
+
+def initial_load(spark: SparkSession, landing: dict[str, str], store_dir: str, multiline: bool = False,
+                 quarantine: str | None = None) -> dict[str, dict[str, int]]:
     """Read the landed page folders (layer -> path), keep known children, clean, check,
-    write all six tables. Returns the rows stored and the child rows dropped because their
-    accident is unknown, by table.
+    write all six tables. Returns, by table, the rows stored, the child rows dropped because
+    their accident is unknown, and the bad pages.
 
     Every page is parsed once: the cleaned accidents are staged first and the children join
-    the staged keys; the checks and the store read the stage.
+    the staged keys; the checks and the store read the stage. Bad pages (see ``checked_pages``)
+    are counted while a layer is staged. Any of them stops the load before the store is
+    written (``BadPages`` with files and reasons), unless ``quarantine`` names a folder: then
+    they are listed there with file, reason and text, and the good pages are loaded.
     """
     stage = scratch_path(spark, "load-stage")
+    bad_one = F.count_if(F.col("reason").isNotNull())
     try:
-        pages = {layer: read_feature_json(spark, p, layer, multiline) for layer, p in landing.items()}
-        stage_write(in_own_month(CLEANERS["siniestros"](pages["siniestros"])), stage, "siniestros")
+        pages = {layer: read_pages(spark, p, layer, multiline) for layer, p in landing.items()}
+        seen = {layer: Observation() for layer in landing}
+        good = {layer: flatten_pages(df.observe(seen[layer], bad_one.alias("bad")).where("reason IS NULL"), layer)
+                for layer, df in pages.items()}
+        stage_write(in_own_month(CLEANERS["siniestros"](good["siniestros"])), stage, "siniestros")
         accidents = stage_read(spark, stage, "siniestros")
         read = {}
         for child in CHILD_TABLES:
             read[child] = Observation()
-            rows = CLEANERS[child](pages[child]).observe(read[child], F.count(F.lit(1)).alias("n"))
+            rows = CLEANERS[child](good[child]).observe(read[child], F.count(F.lit(1)).alias("n"))
             stage_write(with_accident_month(rows, accidents), stage, child)
+        bad = {layer: _observed(seen[layer], pages[layer], "bad", bad_one) for layer in landing}
+        if any(bad.values()):
+            listed = reduce(DataFrame.unionByName, [bad_pages(spark, landing[n], n, multiline) for n, k in bad.items() if k])
+            if quarantine is None:
+                some = listed.select("layer", "file", "reason").limit(20).collect()
+                raise BadPages(f"{sum(bad.values())} bad pages, nothing stored: " + "; ".join(f"{r.layer} {r.file}: {r.reason}" for r in some))
+            listed.write.mode("append").parquet(quarantine)
         staged = {name: stage_read(spark, stage, name) for name in ALL_TABLES}
         found = check_batch(staged)
         write_store(staged, store_dir)
     finally:
         drop_scratch(spark, stage)
     stored = {n: found[f"rows:{n}"] for n in ALL_TABLES}
-    return {"rows": stored, "orphans": {c: read[c].get["n"] - stored[c] for c in CHILD_TABLES}}
+    return {"rows": stored, "bad_pages": bad,
+            "orphans": {c: _observed(read[c], CLEANERS[c](good[c]), "n", F.count(F.lit(1))) - stored[c] for c in CHILD_TABLES}}
 
 
 def missing_rows(wanted: DataFrame, held: DataFrame) -> DataFrame:

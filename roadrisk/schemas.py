@@ -154,6 +154,17 @@ def feature_page_schema(layer: str) -> T.StructType:
     return T.StructType([T.StructField("features", T.ArrayType(T.StructType(feat)), True)])
 
 
+#: What a page can hold besides features: the service's error answer, and the text of a page
+#: that doesn't fit the schema.
+ERROR_FIELD, BAD_FIELD = "error", "_bad"
+
+
+def checked_page_schema(layer: str) -> T.StructType:
+    """The page schema with the service's error answer and the unreadable text."""
+    return T.StructType([*feature_page_schema(layer).fields, T.StructField(ERROR_FIELD, _S, True),
+                         T.StructField(BAD_FIELD, _S, True)])
+
+
 GRID_PAGE_SCHEMA = T.StructType([
     T.StructField("type", _S, True),
     T.StructField("features", T.ArrayType(T.StructType([

@@ -9,23 +9,40 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from roadrisk.schemas import (FEATURE_CSV_SCHEMA, GEOMETRY_LAYERS, GRID_PAGE_SCHEMA,
-                              RAW_ATTRIBUTES, feature_page_schema)
+from roadrisk.schemas import (BAD_FIELD, ERROR_FIELD, FEATURE_CSV_SCHEMA, GEOMETRY_LAYERS, GRID_PAGE_SCHEMA,
+                              RAW_ATTRIBUTES, checked_page_schema)
 
 PAGE_SIZE = 2_000
 
 
 # --- S1: feature-service pages ----------------------------------------------------------------
 
-def read_feature_json(spark: SparkSession, path: str, layer: str, multiline: bool = False) -> DataFrame:
-    """Directory of ``{features: [{attributes: {...}, geometry: {x, y}}]}`` pages ->
-    flat rows (attribute prefix stripped, geometry kept as ``x``/``y``).
+def checked_pages(pages: DataFrame) -> DataFrame:
+    """Pages read with ``checked_page_schema`` (and a ``file`` column), with the ``reason`` why a
+    page is bad (null for a good one; a page with an empty list of features is good).
 
-    ``multiline=True`` reads one pretty-printed document per file (as the service returns
-    it); the default reads one page per line (as ``land_pages`` writes them).
+    ``not json``: the text can't be parsed (cut off, not JSON). ``type clash``: a value doesn't
+    fit its attribute's type. ``error page``: the service's error answer. ``no features``:
+    JSON of another kind. ``no attributes``: a feature without its attributes.
     """
-    pages = spark.read.schema(feature_page_schema(layer)).option("multiLine", multiline).json(path)
+    bad, features = F.col(BAD_FIELD), F.col("features")
+    reason = (F.when(bad.isNotNull() & features.isNull(), "not json").when(bad.isNotNull(), "type clash")
+              .when(F.col(ERROR_FIELD).isNotNull(), "error page").when(features.isNull(), "no features")
+              .when(F.exists(features, lambda f: f.isNull() | f["attributes"].isNull()), "no attributes"))
+    return pages.withColumn("reason", reason)
+
+
+def read_pages(spark: SparkSession, path: str, layer: str, multiline: bool = False) -> DataFrame:
+    """The pages of a folder as they are: (features, error, _bad, file, reason)."""
+    pages = (spark.read.schema(checked_page_schema(layer)).option("multiLine", multiline).option("mode", "PERMISSIVE")
+             .option("columnNameOfCorruptRecord", BAD_FIELD).json(path).withColumn("file", F.col("_metadata.file_path")))
+    return checked_pages(pages)
+
+
+def flatten_pages(pages: DataFrame, layer: str) -> DataFrame:
+    """The features of pages as flat rows (attribute prefix stripped, geometry as ``x``/``y``)."""
     f = pages.select(F.explode("features").alias("f"))
     cols = [F.col(f"f.attributes.{fld.name}").alias(fld.name) for fld in RAW_ATTRIBUTES[layer]]
     if layer in GEOMETRY_LAYERS:
@@ -33,9 +50,36 @@ def read_feature_json(spark: SparkSession, path: str, layer: str, multiline: boo
     return f.select(*cols)
 
 
-def land_pages(raw: DataFrame, path: str, layer: str, page_size: int = PAGE_SIZE,
-               mode: str = "overwrite") -> None:
-    """Write a raw layer as feature-service pages (one JSON page per line).
+def _good(pages: DataFrame, layer: str, on_bad: str) -> DataFrame:
+    """Checked pages without the bad ones (``skip``), or with an error at the first bad one (``fail``)."""
+    if on_bad == "skip":
+        return pages.where("reason IS NULL")
+    said = F.concat(F.lit(f"bad page of {layer} in "), "file", F.lit(": "), "reason")
+    return pages.withColumn("features", F.when(F.col("reason").isNull(), F.col("features")).otherwise(F.raise_error(said)))
+
+
+def bad_pages(spark: SparkSession, path: str, layer: str, multiline: bool = False) -> DataFrame:
+    """(layer, file, reason, detail): the bad pages of a folder; ``detail`` is the error
+    answer or the page's text."""
+    return (read_pages(spark, path, layer, multiline).where("reason IS NOT NULL")
+            .select(F.lit(layer).alias("layer"), "file", "reason", F.coalesce(ERROR_FIELD, BAD_FIELD).alias("detail")))
+
+
+def read_feature_json(spark: SparkSession, path: str, layer: str, multiline: bool = False,
+                      on_bad: str = "fail") -> DataFrame:
+    """Directory of ``{features: [{attributes: {...}, geometry: {x, y}}]}`` pages ->
+    flat rows (attribute prefix stripped, geometry kept as ``x``/``y``).
+
+    ``multiline=True`` reads one pretty-printed document per file (as the service returns
+    it); the default reads one page per line (as ``land_pages`` writes them). A bad page
+    ends the job with its file and reason; with ``on_bad="skip"`` it is left out, for callers
+    that count it (``initial_load``) or list it (``bad_pages``).
+    """
+    return flatten_pages(_good(read_pages(spark, path, layer, multiline), layer, on_bad), layer)
+
+
+def as_pages(raw: DataFrame, layer: str, page_size: int = PAGE_SIZE) -> DataFrame:
+    """A raw layer as feature-service pages: (page, features).
 
     A page holds the features of one OBJECTID range of ``page_size`` ids, the same id-range
     chunking as the bulk extract (S4). OBJECTID is the service's feature id, so each
@@ -51,10 +95,55 @@ def land_pages(raw: DataFrame, path: str, layer: str, page_size: int = PAGE_SIZE
     # Rows are shuffled by page before the lists are built: a list never shrinks, so
     # building it map-side would only move the work before the shuffle (into whatever few
     # tasks read the input); pages are bounded, so the shuffle has no hot key.
-    (raw.select(page.alias("page"), F.struct(*feat).alias("feature"))
-     .repartition("page")
-     .groupBy("page").agg(F.collect_list("feature").alias("features"))
-     .select("features").write.mode(mode).json(path))
+    return (raw.select(page.alias("page"), F.struct(*feat).alias("feature"))
+            .repartition("page")
+            .groupBy("page").agg(F.collect_list("feature").alias("features")))
+
+
+def land_pages(raw: DataFrame, path: str, layer: str, page_size: int = PAGE_SIZE,
+               mode: str = "overwrite") -> None:
+    """Write a raw layer as feature-service pages (one JSON page per line)."""
+    as_pages(raw, layer, page_size).select("features").write.mode(mode).json(path)
+
+
+# --- S4: pages by id range ---------------------------------------------------------------------
+
+CHUNK_IDS = 30_000
+
+
+def land_chunks(raw: DataFrame, path: str, layer: str, size: int = CHUNK_IDS, page_size: int = PAGE_SIZE,
+                last: int | None = None) -> None:
+    """Land a layer's pages with one folder an id range of ``size`` ids (a multiple of
+    the page size), as a bulk extract that asks range by range leaves them. Pages are
+    distributed by range, so a folder gets few files, and a range that is too large for
+    one task is split. With ``last``, that id's range is open-ended: all later ids are in it."""
+    if size % page_size:
+        raise ValueError(f"{size} ids are no whole number of pages of {page_size}")
+    chunk = F.floor(F.col("page") * page_size / F.lit(size)).cast("long")
+    if last is not None:
+        chunk = F.least(chunk, F.lit(last // size))
+    (as_pages(raw, layer, page_size).withColumn("chunk", chunk).hint("rebalance", "chunk")
+     .write.mode("overwrite").partitionBy("chunk").json(path))
+
+
+def read_id_range(spark: SparkSession, path: str, layer: str, lo: int | None = None, hi: int | None = None,
+                  size: int = CHUNK_IDS, on_bad: str = "fail", last: int | None = None) -> DataFrame:
+    """The rows of a chunked landing with ``lo <= OBJECTID < hi`` (open where None). Only
+    the folders of the ranges asked for are listed and read; rows of the first and last
+    range are cut to the bounds."""
+    schema = T.StructType([*checked_page_schema(layer).fields, T.StructField("chunk", T.LongType())])
+    pages = (spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_FIELD)
+             .json(path).withColumn("file", F.col("_metadata.file_path")))
+    open_from = None if last is None else last // size
+    if lo is not None:
+        first = lo // size
+        pages = pages.where(F.col("chunk") >= (first if open_from is None else min(first, open_from)))
+    if hi is not None:
+        pages = pages.where(F.col("chunk") <= (hi - 1) // size)
+    rows = flatten_pages(_good(checked_pages(pages), layer, on_bad), layer)
+    if lo is not None:
+        rows = rows.where(F.col("OBJECTID") >= lo)
+    return rows if hi is None else rows.where(F.col("OBJECTID") < hi)
 
 
 # --- S2: corridor grid -------------------------------------------------------------------------
