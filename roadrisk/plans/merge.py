@@ -95,6 +95,7 @@ def merge_batch(spark: SparkSession, store_dir: str, accidents_raw: DataFrame, c
         stays = reduce(Column.__and__, [F.col(o).eqNullSafe(F.col(p)) for o, p in zip(old, PARTITIONS)])
         stage_write(place.where(F.col("stored") & F.col("pulled") & ~stays).select(KEY, *PARTITIONS), stage, "moved")
         moved = stage_read(spark, stage, "moved")
+        still = moved.isEmpty()
 
         here = _touched(stored["siniestros"], [([KEY], batch)])
         stage_write(changed_rows(batch, here.select(*batch.columns), KEY), stage, "new-siniestros")
@@ -104,6 +105,9 @@ def merge_batch(spark: SparkSession, store_dir: str, accidents_raw: DataFrame, c
 
         def child_change(child: str) -> None:
             rows = kids[child]
+            if rows.isEmpty() and still:
+                changes[child], orphans[child] = Change(), 0
+                return
             placed = rows.join(place.select(KEY, *PARTITIONS), KEY).select(*rows.columns, *PARTITIONS)
             orphans[child] = rows.join(place.select(KEY), KEY, "left_anti").count()
             keyed, free = placed.where("OBJECTID IS NOT NULL"), placed.where("OBJECTID IS NULL")
@@ -121,7 +125,7 @@ def merge_batch(spark: SparkSession, store_dir: str, accidents_raw: DataFrame, c
             changes[child] = Change([(["OBJECTID"], fresh), ([KEY], moved)], stage_read(spark, stage, f"all-{child}"))
 
         side_by_side(child_change, kids)
-        check_batch({n: c.new.drop(*PARTITIONS) for n, c in changes.items()})
+        check_batch({n: c.new.drop(*PARTITIONS) for n, c in changes.items() if c.new is not None})
         # children first: their accident is there before or comes with the same change
         counts = commit(spark, store_dir, {n: changes[n] for n in [*children_raw, "siniestros"]})
         return {n: {"replaced": counts[n][0], "written": counts[n][1]} | ({"orphans": orphans[n]} if n in orphans else {})
