@@ -118,13 +118,18 @@ def accident_measures(accidents: DataFrame, injured: DataFrame, killed: DataFram
     five-query form does (trap T12).
     """
     acc = windowed_accidents(accidents, end, years).select("FORMULARIO", *CELL, "GRAVEDAD")
+    return measures_of(acc, injured, killed, CELL)
+
+
+def measures_of(acc: DataFrame, injured: DataFrame, killed: DataFrame, keep: list[str]) -> DataFrame:
+    """The measures of the given accidents (FORMULARIO, GRAVEDAD and the columns to ``keep``)."""
     ic = person_counts(injured, "h")
     kc = person_counts(killed, "m")
     j = acc.join(ic, "FORMULARIO", "left").join(kc, "FORMULARIO", "left")
     w = (F.when(F.col("GRAVEDAD") == SEVERITY_INJURED, 1).otherwise(0)
          + F.when(F.col("m_n").isNotNull(), 1).otherwise(0))
     z = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long")
-    return j.select("FORMULARIO", *CELL,
+    return j.select("FORMULARIO", *keep,
                     z("m_n").alias("muertes"), (z("h_n") * w).alias("heridos"),
                     z("m_v").alias("muertes_vulnerables"),
                     (z("h_v") * w).alias("heridos_vulnerables"))
