@@ -38,28 +38,39 @@ def base_measures(df: DataFrame, text_col: str = "text") -> DataFrame:
     return repeat_words(df, "_q_words").drop("_q_text", "_q_words", "_q_lines")
 
 
-def repeat_words(df: DataFrame, words_col: str, out: str = "n_repeat_words") -> DataFrame:
+def repeat_words(df: DataFrame, words_col: str, out: str = "n_repeat_words",
+                 window_hash: str = "xxhash64({0}, {1}, {2})") -> DataFrame:
     """Add the number of words inside a 3-word window that occurs twice or more.
 
     Each window is one long: its hash above, its place below (as many bits as the text
     needs), so one sort of longs brings equal windows together. Sorted neighbours with
-    the same hash are repeats; their places in order give the covered words. A text of n
-    words leaves 64 - log2(n) bits of hash.
+    the same hash are repeats if their words are equal, too; their places in order give the
+    covered words. Where neighbours of one hash differ (a collision, as on very long texts,
+    whose places leave few bits to the hash), the text's windows are sorted by their words
+    instead, so the number is exact whatever the hash.
     """
-    n = F.size(words_col)
+    w, n = words_col, F.size(words_col)
+    place, same_hash = "cast(_q_keys[{0}] & (shiftleft(1L, _q_bits) - 1L) AS int)", "shiftright(_q_keys[{0}], _q_bits) = shiftright(_q_keys[{1}], _q_bits)"
+    at, before = place.format("i"), place.format("i - 1")
     df = (df.withColumn("_q_bits", F.when(n > 2, F.ceil(F.log2(n))).otherwise(1).cast("int"))
           .withColumn("_q_keys", F.expr(
-              f"CASE WHEN size({words_col}) < 4 THEN cast(array() AS array<bigint>) ELSE sort_array(transform(sequence(0, size({words_col}) - 3), i -> "
-              f"shiftleft(xxhash64({words_col}[i], {words_col}[i + 1], {words_col}[i + 2]), _q_bits) | i)) END")))
-    df = df.withColumn("_q_places", F.expr(
-        "sort_array(transform(filter(sequence(1, size(_q_keys)), i -> size(_q_keys) > 1 AND ("
-        "(i > 1 AND shiftright(_q_keys[i - 2], _q_bits) = shiftright(_q_keys[i - 1], _q_bits)) OR "
-        "(i < size(_q_keys) AND shiftright(_q_keys[i], _q_bits) = shiftright(_q_keys[i - 1], _q_bits)))), "
-        "i -> _q_keys[i - 1] & (shiftleft(1L, _q_bits) - 1L)))"))
+              f"CASE WHEN size({w}) < 4 THEN cast(array() AS array<bigint>) ELSE sort_array(transform(sequence(0, size({w}) - 3), i -> "
+              f"shiftleft({window_hash.format(f'{w}[i]', f'{w}[i + 1]', f'{w}[i + 2]')}, _q_bits) | i)) END")))
+    mixed = (f"size(_q_keys) > 1 AND exists(sequence(1, greatest(size(_q_keys) - 1, 1)), i -> {same_hash.format('i - 1', 'i')} AND NOT ("
+             + " AND ".join(f"{w}[{before} + {k}] = {w}[{at} + {k}]" for k in range(3)) + "))")
+    by_hash = ("sort_array(transform(filter(sequence(1, size(_q_keys)), i -> size(_q_keys) > 1 AND ("
+               f"(i > 1 AND {same_hash.format('i - 2', 'i - 1')}) OR (i < size(_q_keys) AND {same_hash.format('i', 'i - 1')}))), "
+               "i -> _q_keys[i - 1] & (shiftleft(1L, _q_bits) - 1L)))")
+    windows = f"sort_array(transform(sequence(0, size({w}) - 3), i -> struct(concat_ws(' ', {w}[i], {w}[i + 1], {w}[i + 2]) AS g, cast(i AS bigint) AS p)))"
+    by_words = ("sort_array(transform(filter(transform(_q_windows, (x, i) -> struct(x.p AS p, (i > 0 AND x.g = _q_windows[greatest(i - 1, 0)].g) OR "
+                "(i < size(_q_windows) - 1 AND x.g = _q_windows[least(i + 1, size(_q_windows) - 1)].g) AS r)), y -> y.r), y -> y.p))")
+    df = (df.withColumn("_q_mixed", F.expr(mixed))
+          .withColumn("_q_windows", F.expr(f"CASE WHEN _q_mixed THEN {windows} END"))
+          .withColumn("_q_places", F.expr(f"CASE WHEN _q_mixed THEN {by_words} ELSE {by_hash} END")))
     covered = F.expr("aggregate(_q_places, named_struct('n', 0L, 'last', -3L), "
                      "(s, p) -> named_struct('n', s.n + least(3L, p - s.last), 'last', p), s -> s.n)")
     return (df.withColumn(out, F.when(F.size("_q_keys") > 1, covered).otherwise(F.lit(0).cast("long")))
-            .drop("_q_bits", "_q_keys", "_q_places"))
+            .drop("_q_bits", "_q_keys", "_q_mixed", "_q_windows", "_q_places"))
 
 
 @dataclass(frozen=True)
