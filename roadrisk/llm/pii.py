@@ -8,6 +8,8 @@ where they were. The permutation depends on the key and the kind only, so equal
 stay linked across documents, whatever their separators, and whoever holds the key can
 turn them back (``reveal``).
 
+Letters and digits of any script are permuted among those of their own kind (in names of
+e-mail addresses, say). A value that has nothing to permute stays and isn't reported.
 Long numbers without a right check digit are permuted as plain digits. Overlapping
 candidates go to the first kind listed that holds at their start; where none does, the
 search goes on from the next character. An IBAN may end before its candidate does (the
@@ -24,9 +26,12 @@ from __future__ import annotations
 
 import bisect
 import datetime
+import functools
 import hashlib
+import ipaddress
 import math
 import re
+import unicodedata
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -46,6 +51,17 @@ _IBAN_LENGTH = {x[:2]: int(x[2:]) for x in (
 _RANGES = [("a", "z"), ("A", "Z"), ("0", "9"), ("à", "ö"), ("ø", "ÿ"), ("À", "Ö"), ("Ø", "Þ")]
 _ALPHABETS = ["".join(map(chr, range(ord(a), ord(z) + 1))) for a, z in _RANGES]
 _ALPHABET_OF = {c: a for a in _ALPHABETS for c in a}
+_HEX_OF = {c: a for a in ("0123456789", "abcdef", "ABCDEF") for c in a}
+
+
+@functools.lru_cache(maxsize=4096)
+def _alphabet(c: str) -> str:
+    """The letters or digits that ``c`` is permuted among: its alphabet, for other scripts the
+    characters of its general category in its block of 256; nothing for other characters."""
+    if c in _ALPHABET_OF or not c.isalnum():
+        return _ALPHABET_OF.get(c, "")
+    first, kind = ord(c) & ~0xFF, unicodedata.category(c)
+    return "".join(x for x in map(chr, range(first, first + 256)) if unicodedata.category(x) == kind and x not in _ALPHABET_OF)
 
 
 class Permuter:
@@ -82,9 +98,9 @@ class Permuter:
     def digits(self, kind: str, s: str, back: bool = False) -> str:
         return str(self.permute(f"{kind}{len(s)}", 10 ** len(s), int(s), back)).zfill(len(s))
 
-    def characters(self, kind: str, s: str, back: bool = False) -> str:
+    def characters(self, kind: str, s: str, back: bool = False, alphabet_of=_alphabet) -> str:
         """Each letter and digit within its own alphabet, other characters as they are."""
-        at = [(i, _ALPHABET_OF[c]) for i, c in enumerate(s) if c in _ALPHABET_OF]
+        at = [(i, a) for i, c in enumerate(s) if (a := alphabet_of(c))]
         n = x = 0
         shape = ""
         for k, (i, alphabet) in enumerate(at):
@@ -129,10 +145,20 @@ def _ipv4(p: Permuter, s: str, back: bool) -> str | None:
     return ".".join(map(str, v.to_bytes(4, "big")))
 
 
+def _ipv6(p: Permuter, s: str, back: bool) -> str | None:
+    try:
+        ipaddress.IPv6Address(s)
+    except ValueError:
+        return None
+    return p.characters("ipv6", s, back, lambda c: _HEX_OF.get(c, ""))
+
+
 def _iban_ends(s: str) -> list[int]:
     """Where an IBAN that begins the candidate may end: at its country's length, or before
-    a character that doesn't continue its last token."""
-    size = _IBAN_LENGTH.get(s[:2])
+    a character that doesn't continue its last token (lower-case ones: their length only)."""
+    size = _IBAN_LENGTH.get(s[:2].upper())
+    if s[:2].islower():
+        return [size] if size == len(s) else []
     at = [i + 1 for i, c in enumerate(s) if c != " "]
     fixed = at[size - 1:size] if size else []
     return fixed + [i for i in reversed(at) if (i == len(s) or s[i] == " ") and i not in fixed]
@@ -144,7 +170,8 @@ def _iban(p: Permuter, s: str, back: bool) -> str | None:
     if not 15 <= len(flat) <= 34 or _iban_check(country, rest) != check:
         return None
     rest = p.characters("iban" + country, rest, back)
-    return _fill(s, country + _iban_check(country, rest) + rest)
+    new = _fill(s, country + _iban_check(country, rest) + rest)
+    return new.lower() if s[:2].islower() else new
 
 
 def _day(year: str, month: str, day: str) -> int | None:
@@ -156,16 +183,28 @@ def _day(year: str, month: str, day: str) -> int | None:
 
 
 def _date(p: Permuter, s: str, back: bool) -> str | None:
-    y, m, d = s.split("-") if "-" in s and len(s.split("-")[0]) == 4 else reversed(re.split(r"[./-]", s))
+    year_first = s[4:5] in "./-"
+    y, m, d = re.split(r"[./-]", s) if year_first else reversed(re.split(r"[./-]", s))
     n = _day(y, m, d)
     if n is None:
         return None
     new = _FIRST_DAY + datetime.timedelta(days=p.permute("date", _DAYS, n, back))
-    if s[4:5] == "-":
-        return new.isoformat()
+    if year_first:
+        return f"{new.year}{s[4]}{new.month:02d}{s[4]}{new.day:02d}"
     return f"{new.day:02d}{s[-5]}{new.month:02d}{s[-5]}{new.year}"
 
 
+def _date_short(p: Permuter, s: str, back: bool) -> str | None:
+    """Day first with two digits for the year: a day of 1950 to 2049."""
+    d, m, y = re.split(r"[./-]", s)
+    n = _day(f"{'19' if y >= '50' else '20'}{y}", m, d)
+    if n is None:
+        return None
+    first = (datetime.date(1950, 1, 1) - _FIRST_DAY).days
+    new = datetime.date(1950, 1, 1) + datetime.timedelta(days=p.permute("date_short", 36525, n - first, back))
+    return f"{new.day:02d}{s[2]}{new.month:02d}{s[2]}{new.year % 100:02d}"
+
+
 def _month_first(p: Permuter, s: str, back: bool) -> str | None:
     m, d, y = re.split(r"[./-]", s)
     n = _day(y, m, d)
@@ -198,21 +237,27 @@ def _number(p: Permuter, s: str, back: bool) -> str:
             return _fill(s, x)
 
 
-def _phone(p: Permuter, s: str, back: bool) -> str:
+def _phone(p: Permuter, s: str, back: bool) -> str | None:
     country, rest = re.fullmatch(r"(\+\d{1,3}[ .-]?)?(.*)", s).groups()
-    return (country or "") + _fill(rest, p.digits("phone", re.sub(r"\D", "", rest), back))
+    digits = re.sub(r"\D", "", rest)
+    if not 6 <= len(digits) <= 14:
+        return None
+    return (country or "") + _fill(rest, p.digits("phone", digits, back))
 
 
 #: kind -> (pattern, permutation), tried in this order.
 KINDS = {
-    "email": (r"[\w.+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", _email),
-    "iban": (r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b", _iban),
+    "email": (r"(?<![\w.+-])[\w.+-]+@[\w-]+(?:\.[\w-]+)+", _email),
+    "iban": (r"\b(?:[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?|[a-z]{2}\d{2}[a-z0-9]{11,30})\b", _iban),
+    "ipv6": (r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![\w:.])", _ipv6),
     "ipv4": (r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)", _ipv4),
-    "date": (r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{2}(?P<sep>[./-])\d{2}(?P=sep)\d{4})(?![\d/-])", _date),
+    "date": (r"(?<![\d./-])(?:\d{4}(?P<sep3>[./-])\d{2}(?P=sep3)\d{2}|\d{2}(?P<sep>[./-])\d{2}(?P=sep)\d{4})(?![\d/-])", _date),
     "date_month_first": (r"(?<![\d./-])\d{2}(?P<sep2>[./-])\d{2}(?P=sep2)\d{4}(?![\d/-])", _month_first),
+    "date_short": (r"(?<![\d./-])\d{2}(?P<sep4>[./-])\d{2}(?P=sep4)\d{2}(?![\d/-]|\.\d)", _date_short),
     "ssn": (r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", _ssn),
     "number": (r"(?<!\d)(?:\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5}|\d{13,19})(?!\d)", _number),
-    "phone": (r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{4}(?!\d)", _phone),
+    "phone": (r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{4}(?!\d)"
+              r"|(?<![\w+])(?:\+\d{1,3}(?:[ .-]?\d{1,4}){2,6}|0\d{1,4}/\d{4,8})(?![\d/])", _phone),
 }
 _ANY = re.compile("|".join(f"(?P<{k}>{p})" for k, (p, _) in KINDS.items()))
 _EACH = {k: re.compile(p) for k, (p, _) in KINDS.items()}
@@ -222,8 +267,8 @@ def _without_context(pattern: str) -> str:
     """The pattern for Arrow's matcher, which has no context or back-references: it matches
     wherever the pattern does."""
     pattern = re.sub(r"\(\?<?!(?:\[[^]]*\]|[^()\[\]])*\)|\\b", "", pattern)
-    pattern = re.sub(r"\(\?P<sep2?>(.*?)\)", r"\1", pattern)
-    pattern = re.sub(r"\(\?P=sep2?\)", "[./-]", pattern)
+    pattern = re.sub(r"\(\?P<sep\d?>(.*?)\)", r"\1", pattern)
+    pattern = re.sub(r"\(\?P=sep\d?\)", "[./-]", pattern)
     return pattern.replace(r"\d", r"\p{Nd}").replace(r"\w", r"\pL\pN_")
 
 
@@ -254,7 +299,8 @@ def replace(text: str, permuter: Permuter, back: bool = False) -> tuple[str, lis
         kind, look, new = found
         out += [text[at:m.start()], new]
         size += m.start() - at
-        spans.append((kind, size, size + len(new)))
+        if new != text[m.start():look]:
+            spans.append((kind, size, size + len(new)))
         size += len(new)
         at = look
     out.append(text[at:])
