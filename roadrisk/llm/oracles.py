@@ -54,22 +54,24 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
             OR word_chars < 2 * n_words OR word_chars > 20 * n_words) AS kept
 FROM b""",
     "op10_line_dedup": r"""
-WITH l AS (SELECT doc_id, pos, line, len(string_split(line, ' ')) AS n,
-                  regexp_replace(line, '[^ ]*[0-9][^ ]*', '<*>', 'g') AS m
-           FROM (SELECT doc_id, unnest(range(0, len(x))) AS pos, unnest(x) AS line
-                 FROM (SELECT doc_id, string_split(text, chr(10)) AS x FROM documents))
-           WHERE len(string_split(line, ' ')) >= 6),
-k AS (SELECT doc_id, pos, m, n, array_to_string(string_split(m, ' ')[1:3], ' ') AS lead FROM l),
+WITH k AS (SELECT doc_id, pos, m, len(string_split(m, ' ')) AS n, array_to_string(string_split(m, ' ')[1:3], ' ') AS lead
+           FROM (SELECT doc_id, pos, regexp_replace(line, '[^ ]*[0-9][^ ]*', '<*>', 'g') AS m
+                 FROM (SELECT doc_id, unnest(range(0, len(x))) AS pos, unnest(x) AS line
+                       FROM (SELECT doc_id, string_split(text, chr(10)) AS x FROM documents))
+                 WHERE regexp_matches(line, '[^ \t\r]'))),
 leaf AS (SELECT n, lead, count(DISTINCT m) AS variants, count(*) AS total FROM k GROUP BY ALL),
 tok AS (SELECT n, lead, unnest(range(1, n + 1)) AS i, unnest(string_split(m, ' ')) AS t FROM k),
 con AS (SELECT n, lead, i, t FROM tok JOIN leaf USING (n, lead) WHERE variants > 1
-        GROUP BY n, lead, i, t, total HAVING 2 * count(*) > total),
-lik AS (SELECT v.n, v.lead, v.m FROM (SELECT n, lead, m, unnest(range(1, n + 1)) AS i, unnest(string_split(m, ' ')) AS t
-                                      FROM (SELECT DISTINCT n, lead, m FROM k)) v
-        JOIN con USING (n, lead, i, t) GROUP BY ALL HAVING count(*) >= 0.8 * n),
-named AS (SELECT doc_id, pos, CASE WHEN lik.m IS NULL THEN 'v' || k.m ELSE 't' || k.n || ' ' || k.lead END AS tpl
+        GROUP BY n, lead, i, t, total HAVING count(*) >= 3 AND count(*) * count(*) >= total),
+lik AS (SELECT v.n, v.lead, v.m, string_agg(CASE WHEN con.t IS NULL THEN '<*>' ELSE v.t END, ' ' ORDER BY v.i) AS g
+        FROM (SELECT n, lead, m, unnest(range(1, n + 1)) AS i, unnest(string_split(m, ' ')) AS t
+              FROM (SELECT DISTINCT n, lead, m FROM k JOIN leaf USING (n, lead) WHERE variants > 1)) v
+        LEFT JOIN con USING (n, lead, i, t) GROUP BY ALL
+        HAVING count(*) FILTER (WHERE con.t IS NOT NULL OR v.t = '<*>') >= 0.8 * n),
+named AS (SELECT doc_id, pos, k.n, CASE WHEN lik.m IS NULL THEN 'v' || k.m ELSE 't' || k.n || ' ' || k.lead || ' ' || lik.g END AS tpl
           FROM k LEFT JOIN lik ON lik.n = k.n AND lik.lead = k.lead AND lik.m = k.m),
-rec AS (SELECT tpl, min({'d': doc_id, 'p': pos}) AS f FROM named GROUP BY tpl HAVING count(DISTINCT doc_id) >= 3),
+rec AS (SELECT tpl, min({'d': doc_id, 'p': pos}) AS f FROM named GROUP BY tpl, n
+        HAVING count(DISTINCT doc_id) >= CASE WHEN n >= 20 THEN 2 WHEN n >= 6 THEN 3 ELSE 10 END),
 gone AS (SELECT doc_id, list(pos) AS g FROM named JOIN rec USING (tpl) WHERE {'d': doc_id, 'p': pos} <> f GROUP BY doc_id)
 SELECT doc_id,
        CASE WHEN g IS NULL THEN text ELSE array_to_string(list_transform(
