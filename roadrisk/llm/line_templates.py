@@ -16,8 +16,8 @@ with the lowest id (then the lowest line number).
 
 Lines are counted over all documents. Only lines of leaves that recur are compared, and
 only variants, not lines, are taken apart into tokens, so one frequent line is a few
-pre-aggregated rows before any shuffle by key; a leaf of many variants is dealt to
-``SALTS`` tasks. Drop lists join back on the document.
+pre-aggregated rows before any shuffle by key, and its template's lines are dealt to ``SALTS``
+tasks. Drop lists join back on the document.
 
 Defined cases: a null text stays null and an empty one empty (no lines dropped); blank lines
 are never dropped; a line repeated within one document counts that document once;
@@ -40,6 +40,8 @@ MIN_DOCS = 3
 MIN_SHORT_DOCS = 10
 SIMILARITY = 0.8
 SALTS = 16
+#: Recurring leaves that are broadcast.
+LEAVES = 1_000_000
 WILDCARD = "<*>"
 
 
@@ -62,19 +64,18 @@ def lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", de
 def templates(variants: DataFrame, similarity: float = SIMILARITY, min_docs: int = MIN_DOCS) -> DataFrame:
     """(_t_leaf, _t_variant, _t_template) of the variants of recurring leaves: variants
     generalised alike share a template."""
-    salt = F.pmod("_t_variant", F.lit(SALTS))
-    dealt = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("_t_salt")
     several = (variants.groupBy("_t_leaf").agg(F.count(F.lit(1)).alias("_t_n"), F.sum("_t_lines").alias("_t_all"))
-               .where("_t_n > 1").select("_t_leaf", "_t_all", dealt))
-    open_ = variants.withColumn("_t_salt", salt).join(several, ["_t_leaf", "_t_salt"])
+               .where("_t_n > 1").select("_t_leaf", "_t_all"))
+    open_ = variants.join(several, "_t_leaf")
     constants = (open_.select("_t_leaf", "_t_all", "_t_lines", F.posexplode(F.split("_t_masked", " ")).alias("_t_place", "_t_token"))
                  .groupBy("_t_leaf", "_t_place", "_t_token").agg(F.sum("_t_lines").alias("_t_n"), F.first("_t_all").alias("_t_all"))
                  .where((F.col("_t_n") >= min_docs) & (F.col("_t_n") * F.col("_t_n") >= F.col("_t_all")))
                  # at most the square root of the leaf's lines for each place
                  .groupBy("_t_leaf").agg(F.collect_set(F.struct("_t_place", "_t_token")).alias("_t_constants"))
-                 .select("_t_leaf", F.map_from_entries(F.transform("_t_constants", lambda c: F.struct(c, F.lit(True)))).alias("_t_constants"), dealt))
+                 .select("_t_leaf", F.map_from_entries(F.transform("_t_constants", lambda c: F.struct(c, F.lit(True)))).alias("_t_constants")))
     size = F.size(F.split("_t_masked", " "))
-    general = (open_.join(constants, ["_t_leaf", "_t_salt"])
+    # both joins on the leaf go on to an exchange by other keys, so a leaf of many variants can be split
+    general = (open_.join(constants, "_t_leaf")
                .withColumn("_t_places", F.expr("transform(split(_t_masked, ' '), (x, i) -> CASE WHEN map_contains_key(_t_constants, "
                                                f"named_struct('_t_place', i, '_t_token', x)) THEN x ELSE '{WILDCARD}' END)"))
                .withColumn("_t_like", F.expr("size(filter(zip_with(_t_places, split(_t_masked, ' '), (y, x) -> y = x), z -> z))"))
@@ -92,7 +93,10 @@ def dropped_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     leaf = (found.groupBy("_t_leaf").agg(F.min("_t_doc").alias("a"), F.max("_t_doc").alias("b"), F.count(F.lit(1)).alias("n"),
                                          F.max("_t_needs").alias("needs"))
             .where((F.col("a") != F.col("b")) & (F.col("n") >= F.col("needs"))).select("_t_leaf"))
-    here = materialise(found.join(materialise(leaf, "line-leaves"), "_t_leaf", "left_semi"), "line-candidates")
+    leaf = materialise(leaf, "line-leaves")
+    if leaf.count() <= LEAVES:  # 8 bytes each; beyond that, lines are shuffled to their leaf
+        leaf = F.broadcast(leaf)
+    here = materialise(found.join(leaf, "_t_leaf", "left_semi"), "line-candidates")
     variants = materialise(here.groupBy("_t_leaf", "_t_variant")
                            .agg(F.count(F.lit(1)).alias("_t_lines"), F.first("_t_masked").alias("_t_masked")), "line-variants")
     salt = F.pmod("_t_doc", F.lit(SALTS))  # a template of many documents is dealt to many tasks
