@@ -8,10 +8,11 @@ broadcasts as a value: no cross join, no driver round trip.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadrisk.schemas import NUMERIC_FEATURES
+from roadrisk.session import materialise
 
 
 def minmax_params(df: DataFrame, cols=NUMERIC_FEATURES) -> DataFrame:
@@ -48,14 +49,25 @@ def minmax_scale(df: DataFrame, cols=NUMERIC_FEATURES, params: DataFrame | None
 
 
 def category_codes(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
-    """string -> dense code in sorted order (0-based).
+    """string -> dense code in sorted order (0-based); null has no code.
 
-    The codes are ranked over the *distinct* values only (a small table), then joined back;
-    no window ever runs over the data rows.
+    The distinct values are dealt to tasks by range and sorted there, so a value's code is its
+    place in its task plus the number of values in the tasks before. Only one count a task
+    comes to the driver, and no window runs over all values.
     """
     out = out or f"{col}_code"
-    codes = (df.select(col).distinct().filter(F.col(col).isNotNull())
-             .withColumn(out, (F.dense_rank().over(Window.orderBy(col)) - 1).cast("int")))
+    values = df.select(col).distinct().filter(F.col(col).isNotNull())
+    # the id holds the task in its upper bits and the place in the lower 33
+    placed = materialise(values.repartitionByRange(col).sortWithinPartitions(col)
+                         .withColumn("_at", F.monotonically_increasing_id()), "category-codes")
+    task = F.shiftright("_at", 33).cast("int")
+    before, offsets = 0, []
+    for r in placed.groupBy(task.alias("_task")).count().orderBy("_task").collect():
+        offsets.append((r["_task"], before))
+        before += r["count"]
+    offsets = df.sparkSession.createDataFrame(offsets, "_task int, _before long")
+    codes = (placed.withColumn("_task", task).join(offsets, "_task")
+             .select(col, (F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1)).cast("int").alias(out)))
     return df.join(codes, col, "left")
 
 

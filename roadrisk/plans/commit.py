@@ -30,6 +30,8 @@ from roadrisk.session import drop_path
 
 PARTITIONS = ["part_year", "part_month"]
 FOLDER, MANIFEST = "_commits", "manifest.json"
+#: Sums of each month, kept beside the tables (``plans.cells``).
+CELLS = "_cells"
 _NULL = "__HIVE_DEFAULT_PARTITION__"
 
 Month = tuple[int | None, int | None]
@@ -48,6 +50,29 @@ def _folder(month: Month) -> str:
     return "/".join(f"{c}={_NULL if v is None else v}" for c, v in zip(PARTITIONS, month))
 
 
+def folders_of(spark: SparkSession, table: str) -> set[Month]:
+    """The months that a table has folders for (from the folder names alone)."""
+    fs, p = _fs(spark, table)
+    if not fs.exists(p(table)):
+        return set()
+    value = lambda name: None if name.split("=")[1] == _NULL else int(name.split("=")[1])
+    found = set()
+    for year in fs.listStatus(p(table)):
+        if year.getPath().getName().startswith(f"{PARTITIONS[0]}="):
+            for month in fs.listStatus(year.getPath()):
+                if month.getPath().getName().startswith(f"{PARTITIONS[1]}="):
+                    found.add((value(year.getPath().getName()), value(month.getPath().getName())))
+    return found
+
+
+def drop_cells(spark: SparkSession, store_dir: str, months: Iterable[Month]) -> None:
+    """Drop the cells of months that are about to change."""
+    root = f"{store_dir.rstrip('/')}/{CELLS}"
+    fs, p = _fs(spark, root)
+    for month in months:
+        fs.delete(p(f"{root}/{_folder(month)}"), True)
+
+
 def in_months(months: list[Month]) -> Column:
     """Partition filter on a list of months (rows without a month among them)."""
     known = [str(-1 if y is None or m is None else y * 100 + m) for y, m in months]
@@ -129,6 +154,7 @@ def finish(spark: SparkSession, store_dir: str, path: str) -> None:
     read = fs.open(p(f"{path}/{MANIFEST}"))
     plan = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(read, "UTF-8"))
     read.close()
+    drop_cells(spark, store_dir, {tuple(month) for months in plan.values() for month, _ in months})
     for name, months in plan.items():
         for month, what in months:
             source = f"{path}/{name}/{_folder(tuple(month))}"

@@ -28,7 +28,11 @@ from roadrisk.sources.tables import Tables
 def build_features_from(accidents: DataFrame, injured: DataFrame, killed: DataFrame,
                         grid: DataFrame, end, years: int = 3) -> DataFrame:
     measures = A.accident_measures(accidents, injured, killed, end, years)
-    cells = A.cell_totals(measures, ["CIV", A.HORA])
+    return features_of_cells(A.cell_totals(measures, ["CIV", A.HORA]), grid)
+
+
+def features_of_cells(cells: DataFrame, grid: DataFrame) -> DataFrame:
+    """The feature table of measures per (CIV, hour)."""
     named = (cells.join(grid.select("CIV", "MVINOMBRE"), "CIV")
              .withColumn("HORARIO", hour_block(F.col(A.HORA)))
              .filter(F.col("HORARIO").isNotNull()))

@@ -30,7 +30,7 @@ from roadrisk.functions.calendar import as_date, previous_month_filter, window_s
 from roadrisk.functions.cleaning import CLEANERS
 from roadrisk.operators.integrity import pk_violations
 from roadrisk.schemas import ALL_TABLES, CHILD_TABLES, VARCHAR_LIMITS
-from roadrisk.plans.commit import PARTITIONS, recover
+from roadrisk.plans.commit import PARTITIONS, drop_cells, months_of, recover
 from roadrisk.session import drop_scratch, scratch_path
 from roadrisk.sources.files import (append_table, bad_pages, flatten_pages, land_pages, read_pages,
                                     stage_read, stage_write)
@@ -211,6 +211,8 @@ def _append_staged(spark: SparkSession, stage: str, store_dir: str, names: list[
     staged = {name: stage_read(spark, stage, name) for name in names}
     found = check_batch(staged)
     counts = {name: found[f"rows:{name}"] for name in names}
+    months = [months_of(staged[name]) for name in names if counts[name]]
+    drop_cells(spark, store_dir, {m for found_ in months for m in found_})
     for name in sorted(names, key=ALL_TABLES.index, reverse=True):
         if counts[name]:
             append_table(staged[name], f"{store_dir.rstrip('/')}/{name}", PARTITIONS)

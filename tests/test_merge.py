@@ -177,3 +177,37 @@ def test_a_thousand_dates_in_one_plan(spark, tables001):
     got = found.where("as_of = DATE'1998-05-17'").drop("as_of").collect()
     want = build_features(tables001, dt.date(1998, 5, 17)).collect()
     assert sorted(map(str, got)) == sorted(map(str, want)) and want
+
+
+def test_month_cells_follow_every_change(spark, tables001, tmp_path):
+    """Appends, corrections and deletes: the features from cells equal those from the rows."""
+    from roadrisk.functions.cleaning import CLEANERS
+    from roadrisk.plans import cells
+    from roadrisk.plans.features import build_features
+    from roadrisk.plans.load import StoreTables, incremental_append, with_accident_month, write_store
+    from roadrisk.plans.merge import delete_accidents, merge_batch
+    t, store = tables001, str(tmp_path / "store")
+    raws = {c: t.raw(c) for c in CHILD_TABLES}
+    acc = t.raw("siniestros")
+    base = CLEANERS["siniestros"](acc).where("FECHA_ACC >= '1997-06-01' AND FECHA_ACC <= '1999-11-30'")
+    write_store({"siniestros": base, **{c: with_accident_month(CLEANERS[c](k), base) for c, k in raws.items()}}, store)
+
+    def same(end):
+        got = cells.build_features(spark, store, t.grid, end, 2).collect()
+        want = build_features(StoreTables(spark, store, t.grid, end, 2), end, 2).collect()
+        assert sorted(map(str, got)) == sorted(map(str, want)) and want
+
+    assert len(cells.refresh_cells(spark, store)) == 30 and cells.refresh_cells(spark, store) == []
+    same("1999-10-14")
+    incremental_append(spark, store, acc, raws, dt.date(2000, 1, 10))
+    same("1999-12-20")  # the new month has no cells yet
+    assert cells.refresh_cells(spark, store) == [(1999, 12)]
+    some = acc.join(base.where("FECHA_ACC >= '1999-06-01' AND FECHA_ACC < '1999-06-08'").select("FORMULARIO"), "FORMULARIO", "left_semi")
+    merge_batch(spark, store, some.withColumn("FECHA_HORA_ACC", some["FECHA_HORA_ACC"] + 40 * DAY), empty(spark))
+    gone = cells.refresh_cells(spark, store)
+    assert (1999, 6) in gone and len(gone) <= 3
+    same("1999-12-05")
+    delete_accidents(spark, store, base.where("FECHA_ACC = '1999-03-09'").select("FORMULARIO"))
+    same("1999-12-31")  # March has no cells
+    plan = cells.build_features(spark, store, t.grid, "1999-10-14", 2)._jdf.queryExecution().optimizedPlan().toString()
+    assert "199903" in plan and "199710" in plan  # read row by row
