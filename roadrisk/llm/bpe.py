@@ -2,25 +2,50 @@
 
 A BPE tokenizer never merges over a change from non-space to white space, so a text cut
 there and encoded piece by piece gives the ids of the whole text. Running text repeats
-its pieces, so each worker encodes a piece once and keeps its ids (as little-endian
-32-bit integers) in a cache of two generations of bounded size.
+its pieces, so a column of texts is cut in Arrow and dictionary-encoded, each piece's ids
+are looked up once, and the texts' ids are gathered from them. A worker keeps the ids of
+pieces (as little-endian 32-bit integers) in a cache of two generations of bounded size.
 
 A plain piece (a space or line break, Latin letters, closing punctuation) is handed to
 the tokenizer's BPE model word by word, which skips most of the library's cost per call;
 any other piece goes through its whole pipeline. Which white space and case the model
 gets is found by probing the pipeline, and the short way is off if the probes differ.
+
+New words are encoded in bulk by tiktoken, from the same file's entries: space-led words of
+a byte-level BPE as they are, words of a BPE with word ends as one ASCII character a symbol
+(the lower-case Latin letters have few enough, with and without a word end). Its merges go by
+the rank of the joined symbols, the file's by the rank of the pair. Both give the same ids if
+the entries' ids are in the order of their merges and every entry, encoded alone, is one
+token: the parts of a span whose ends still stand have been merged as if the span stood
+alone, so the last two parts of an entry are always its own pair. Both conditions are tested
+when a file is loaded; bulk encoding is off otherwise.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from array import array
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-_PIECE = re.compile(r"\s*\S+|\s+")
-_DOUBLE = re.compile(r"\s\s")
+from roadrisk.llm.text import chunks
+
+#: White space of the tokenizers (Unicode's property; Python's \\s has four control characters more).
+_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_PIECE = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
+_DOUBLE = re.compile(f"[{_SPACE}][{_SPACE}]")
 _PLAIN = re.compile(r"([ \n]?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)")
+#: The same over pieces that are joined by the cut mark; other pieces give an empty word.
+_PLAINS = re.compile(r"([ \n]?)([A-Za-zÀ-ÖØ-öø-ÿ]{1,50})([.,!?;:]{0,10})\x01|[^\x01]*\x01")
 _CUT = "\x01"
+#: Texts that Arrow can't cut: they hold the mark, or a cut that would follow white space.
+_ODD = r"\x01|[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}][ \n]"
+_CHUNK = 2 << 20
 _PROBES = [" Probe.", "\nÉtude,", "Straße!?", " a", "Ñandú", " ÀÖØÞ;:", "word", "\nUnd."]
 
 
@@ -48,6 +73,66 @@ class Encoder:
         self._map = {c: "".join(chars[b] for b in chr(c).encode()) for c in range(256)}
         self._keep_space = self._lower = False
         self._plain = any(self._probe(k, low) for k in (True, False) for low in (False, True))
+        self._bulk, self._lengths, self._inner, self._final = None, None, None, None
+        if self._plain and self._keep_space != self._lower:  # spaces and case kept, or neither
+            self._load_bulk(path, chars)
+
+    def _load_bulk(self, path: str, chars: dict[int, str]) -> None:
+        """tiktoken's encoding of the file's entries, and the entries' lengths in symbols."""
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        vocab, suffix = model["vocab"], model.get("end_of_word_suffix") or ""
+        pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model.get("merges", [])]
+        base = len(chars) * (2 if suffix else 1)
+        single = set(chars.values()) | ({c + suffix for c in chars.values()} if suffix else set())
+        if {e for e, i in vocab.items() if i < base} != single or any(vocab.get(a + b) != base + i for i, (a, b) in enumerate(pairs)):
+            return
+        if not suffix and self._keep_space:
+            code, pattern = {c: bytes([b]) for b, c in chars.items()}, r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+"
+        elif suffix and self._lower:
+            letters = [chr(c) for c in (*range(97, 123), *range(0xDF, 0x100)) if c != 0xF7]
+            inner = sorted({b for x in letters for b in x.encode()})
+            final = sorted({x.encode()[-1] for x in letters})
+            code = {chars[b]: bytes([1 + k]) for k, b in enumerate(inner)}
+            code |= {chars[b] + suffix: bytes([1 + len(inner) + k]) for k, b in enumerate(final)}
+            spell = lambda x, end: "".join(code[chars[b] + e].decode() for b, e in zip(x.encode(), [""] * (len(x.encode()) - 1) + [end]))
+            self._inner, self._final = {ord(x): spell(x, "") for x in letters}, {x: spell(x, suffix) for x in letters}
+            pattern = rf"[\x01-\x{len(inner):02x}]*[\x{len(inner) + 1:02x}-\x{len(code):02x}]"
+        else:
+            return
+        spelt = {}  # the entries that these symbols can spell, and how
+        for e, i in vocab.items():
+            if i < base + len(pairs):
+                ended = suffix and e.endswith(suffix)
+                symbols = [*e[:-len(suffix) - 1], e[-len(suffix) - 1] + suffix] if ended else e
+                if all(x in code for x in symbols):
+                    spelt[e] = b"".join([code[x] for x in symbols])
+        if suffix:
+            from tokenizers.models import BPE
+            text = {e: x.decode() for e, x in spelt.items()}
+            alone = BPE({text[e]: vocab[e] for e in spelt}, [(text[a], text[b]) for a, b in pairs if a in text and b in text and a + b in text])
+        else:
+            text, alone = {e: e for e in spelt}, self._model
+        if any(len(alone.tokenize(x)) != 1 for x in text.values()):
+            return
+        ranks = {x: vocab[e] for e, x in spelt.items()}
+        import tiktoken
+        self._bulk = tiktoken.Encoding("bulk", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self._lengths = np.zeros(base + len(pairs), np.int64)
+        for e, i in ranks.items():
+            self._lengths[i] = len(e)
+
+    def _learn_words(self, words: list[str]) -> None:
+        """Ids of plain words that aren't known yet, all encoded as one text."""
+        if self._final:
+            spelt = [w[:-1].translate(self._inner) + self._final[w[-1]] for w in words]
+            sizes = list(map(len, spelt))
+        else:
+            spelt, sizes = words, [len(w.encode()) for w in words]
+        ids = np.asarray(self._bulk.encode_ordinary("".join(spelt)), "<u4")
+        ends = np.searchsorted(np.cumsum(self._lengths[ids]), np.cumsum(sizes)) + 1
+        data, at = ids.tobytes(), [0, *(4 * ends).tolist()]
+        self._words.update(zip(words, [data[a:z] for a, z in zip(at, at[1:])]))
 
     def _probe(self, keep_space: bool, lower: bool) -> bool:
         self._keep_space, self._lower = keep_space, lower
@@ -78,28 +163,91 @@ class Encoder:
             ids = self._bpe(space + word)
         return ids + self._bpe(stop) if stop else ids
 
-    def _learn(self, missing: list[str]) -> None:
-        """Put the ids of new pieces into the cache."""
+    def _learn(self, missing: list[str]) -> list[str]:
+        """Put the ids of new pieces into the cache; returns those that aren't plain."""
         if len(self._words) > self._limit:
             self._words = {}
-        new, hard = self._new, []
+        new, old, known, bpe = self._new, self._old, self._words, self._bpe
+        hard, fresh = [], []
         for p in missing:
-            if p in new:
-                continue
-            ids = self._old.get(p)
+            ids = old.get(p)
             if ids is None:
-                m = _PLAIN.fullmatch(p) if self._plain else None
-                if m is None:
-                    hard.append(p)
-                    continue
-                ids = self._word_by_word(m)
-            new[p] = ids
+                fresh.append(p)
+            else:
+                new[p] = ids
+        if self._plain and not any(_CUT in p for p in fresh):
+            parts = _PLAINS.findall(_CUT.join(fresh) + _CUT) if fresh else []
+        else:
+            parts = [("", "", "")] * len(fresh)
+        keep, lower = self._keep_space, self._lower
+        if self._bulk:
+            if lower:
+                unknown = dict.fromkeys(word.lower() for _, word, _ in parts if word)
+            else:
+                unknown = dict.fromkeys(" " + word for space, word, _ in parts if space == " ")
+            self._learn_words([w for w in unknown if w not in known and len(w) <= self._max_piece])
+        for p, (space, word, stop) in zip(fresh, parts):
+            if not word:
+                hard.append(p)
+                continue
+            if lower:
+                word = word.lower()
+            if keep and space == "\n":
+                ids = bpe(space) + bpe(word)
+            else:
+                if keep:
+                    word = space + word
+                ids = known.get(word)
+                if ids is None:
+                    ids = bpe(word)
+            new[p] = ids + bpe(stop) if stop else ids
         for lo in range(0, len(hard), 1024):
             new.update(zip(hard[lo:lo + 1024], self._whole(hard[lo:lo + 1024])))
+        return hard
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         return [self._one(t) if t else b"" for t in texts]
 
+    def _look_up(self, pieces: list[str]) -> list[bytes]:
+        """Ids of different pieces."""
+        ids = list(map(self._new.get, pieces))
+        missing = [p for p, x in zip(pieces, ids) if x is None]
+        if not missing:
+            return ids
+        if len(self._new) > self._limit:
+            self._old, self._new = self._new, {}
+            missing = pieces
+        hard = self._learn(missing)
+        ids = list(map(self._new.__getitem__, pieces))
+        for p in hard:
+            if len(p) > self._max_piece:
+                del self._new[p]  # too long to keep
+        return ids
+
+    def columns(self, column: pa.Array, end_id: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(first row, end row, ids, offsets) of a text column in chunks of bounded text (one
+        row at least): the ids of all rows, each row's followed by ``end_id``, and where each
+        row's begin (null: the end id alone)."""
+        column, tail = column.cast(pa.large_string()).fill_null(""), end_id.to_bytes(4, "little")
+        sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+        for lo, hi in chunks(np.r_[0, np.cumsum(sizes)], _CHUNK):
+            texts = column.slice(lo, hi - lo)
+            odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False)
+            easy = pc.if_else(pa.array(odd), "", texts)
+            for c in (" ", "\n"):
+                easy = pc.replace_substring(easy, c, _CUT + c)
+            cut = pc.split_pattern(easy, _CUT)
+            pieces = cut.flatten().dictionary_encode()
+            known = self._look_up(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())
+            parts = list(map(known.__getitem__, pieces.indices.to_numpy().tolist()))
+            at = (cut.offsets.to_numpy() - cut.offsets[0].as_py()).tolist()
+            rows = [b"".join(parts[a:z]) + tail for a, z in zip(at, at[1:])]
+            for k in np.flatnonzero(odd).tolist():
+                rows[k] = self._one(texts[k].as_py()) + tail
+            offsets = np.r_[0, np.cumsum([len(r) // 4 for r in rows])]
+            out = np.frombuffer(b"".join(rows), "<u4")
+            yield lo, hi, out, offsets
+
     def _one(self, text: str) -> bytes:
         if _CUT in text or _DOUBLE.search(text):
             pieces = _PIECE.findall(text)

@@ -45,21 +45,22 @@ def pieces(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col:
     def run(batches):
         enc = encoder(tokenizer)
         for b in batches:
-            src, cols = [], [[], [], [], [], []]
-            for r in range(b.num_rows):
-                ids = enc.encode([b.column(1)[r].as_py()])[0] + tail
-                n = len(ids) // 4
-                cut = [0, *range(n % capacity or capacity, n + 1, capacity)] if n > capacity else [0, n]
-                for k, (a, z) in enumerate(zip(cut, cut[1:])):
-                    part = ids[4 * a:4 * z]
-                    src.append(r)
-                    for c, v in zip(cols, (k, a, z - a, zlib.crc32(part), part)):
-                        c.append(v)
-            out = [b.column(0).take(pa.array(src, pa.int64())), pa.array(cols[0], pa.int32()),
-                   *(pa.array(c, pa.int64()) for c in cols[1:4])]
-            if with_ids:
-                out.append(pa.array([np.frombuffer(x, "<i4") for x in cols[4]], pa.list_(pa.int32())))
-            yield pa.record_batch(out, names=[f.name for f in fields])
+            for lo, _, ids, offsets in enc.columns(b.column(1), end_id):
+                n = np.diff(offsets)
+                pieces_ = -(-n // capacity)
+                row = np.repeat(np.arange(len(n)), pieces_)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(pieces_) - pieces_, pieces_)
+                # all pieces but the first are full
+                first = n - (pieces_ - 1) * capacity
+                start = np.where(piece == 0, 0, first[row] + (piece - 1) * capacity)
+                length = np.where(piece == 0, first[row], capacity)
+                at = offsets[row] + start
+                crc = [zlib.crc32(ids[a:a + k]) for a, k in zip(at.tolist(), length.tolist())]
+                out = [b.column(0).take(pa.array(lo + row)), pa.array(piece.astype(np.int32)), pa.array(start),
+                       pa.array(length), pa.array(crc, pa.int64())]
+                if with_ids:  # the pieces of a row lie one after another, and the rows too
+                    out.append(pa.ListArray.from_arrays(pa.array(np.r_[at, offsets[-1]].astype(np.int32)), pa.array(ids.view("<i4"))))
+                yield pa.record_batch(out, names=[f.name for f in fields])
 
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, T.StructType(fields))
 

@@ -35,7 +35,6 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, *, id_col: str = "d
                  end_id: int = END_ID, row_group_bytes: int = ROW_GROUP_BYTES,
                  page_bytes: int = PAGE_BYTES) -> None:
     """Encode every document and write the token files."""
-    tail = end_id.to_bytes(4, "little")
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("part", T.IntegerType()),
                            T.StructField("part_start", T.LongType()), T.StructField("n_tokens", T.LongType()),
                            T.StructField("ids", T.ArrayType(T.IntegerType(), False))])
@@ -44,22 +43,12 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, *, id_col: str = "d
         from pyspark import TaskContext
         enc, part, at = encoder(tokenizer), TaskContext.get().partitionId(), 0
         for b in batches:
-            lo = 0
-            while lo < b.num_rows:  # bounded output batches
-                start, size, out, hi = [], [], [], lo
-                while hi < b.num_rows and sum(map(len, out[-1:])) < (4 << 20) and hi < lo + 1000:
-                    ids = enc.encode([b.column(1)[hi].as_py()])[0] + tail
-                    start.append(at)
-                    size.append(len(ids) // 4)
-                    out.append(ids)
-                    at += size[-1]
-                    hi += 1
-                offsets = np.r_[0, np.cumsum(size)].astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(out), "<i4")))
-                yield pa.record_batch([b.column(0).slice(lo, hi - lo), pa.array([part] * len(size), pa.int32()),
-                                       pa.array(start, pa.int64()), pa.array(size, pa.int64()), lists],
+            for lo, hi, ids, offsets in enc.columns(b.column(1), end_id):  # bounded output batches
+                lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.view("<i4")))
+                yield pa.record_batch([b.column(0).slice(lo, hi - lo), pa.array([part] * (hi - lo), pa.int32()),
+                                       pa.array(at + offsets[:-1]), pa.array(np.diff(offsets)), lists],
                                       names=schema.fieldNames())
-                lo = hi
+                at += int(offsets[-1])
 
     cols = docs.select(F.col(id_col), F.col(text_col).alias("__text"))
     in_order = (cols.repartitionByRange(F.col(id_col).asc_nulls_first(), F.xxhash64("__text"))
