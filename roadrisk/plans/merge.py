@@ -33,6 +33,12 @@ from roadrisk.sources.files import stage_read, stage_write
 KEY = "FORMULARIO"
 
 
+def _any_size(staged: DataFrame) -> DataFrame:
+    """A staged side of a join that grows with the batch. Its files are many times smaller than
+    its rows, so Spark would take it for small and build it in the driver: shuffled instead."""
+    return staged.hint("merge")
+
+
 def latest(df: DataFrame, key: str, version: str | None = None) -> DataFrame:
     """The rows of each key's greatest version (null versions come first), without that
     column; all rows if there is none. A key's versions are reduced before the shuffle."""
@@ -108,19 +114,19 @@ def merge_batch(spark: SparkSession, store_dir: str, accidents_raw: DataFrame, c
             if rows.isEmpty() and still:
                 changes[child], orphans[child] = Change(), 0
                 return
-            placed = rows.join(place.select(KEY, *PARTITIONS), KEY).select(*rows.columns, *PARTITIONS)
-            orphans[child] = rows.join(place.select(KEY), KEY, "left_anti").count()
+            placed = rows.join(_any_size(place.select(KEY, *PARTITIONS)), KEY).select(*rows.columns, *PARTITIONS)
+            orphans[child] = rows.join(_any_size(place.select(KEY)), KEY, "left_anti").count()
             keyed, free = placed.where("OBJECTID IS NOT NULL"), placed.where("OBJECTID IS NULL")
             here = _touched(stored[child], [(["OBJECTID"], keyed), ([KEY], moved)]).select(*placed.columns)
             stage_write(changed_rows(keyed, here, "OBJECTID"), stage, f"new-{child}")
             fresh = stage_read(spark, stage, f"new-{child}")
-            follow = (here.drop(*PARTITIONS).join(moved, KEY).join(fresh.select("OBJECTID"), "OBJECTID", "left_anti")
+            follow = (here.drop(*PARTITIONS).join(_any_size(moved), KEY).join(_any_size(fresh.select("OBJECTID")), "OBJECTID", "left_anti")
                       .select(*placed.columns))
             # rows without an id: what the store lacks, counted where their accident's rows lie now
             lies = placed.columns[:-len(PARTITIONS)]
             held = (stored[child].where("OBJECTID IS NULL").join(free.select(KEY).distinct(), KEY, "left_semi"))
             lacking = missing_rows(free.select(*lies), held.select(*lies))
-            lacking = lacking.join(place.select(KEY, *PARTITIONS), KEY).select(*placed.columns)
+            lacking = lacking.join(_any_size(place.select(KEY, *PARTITIONS)), KEY).select(*placed.columns)
             stage_write(fresh.unionByName(follow).unionByName(lacking), stage, f"all-{child}")
             changes[child] = Change([(["OBJECTID"], fresh), ([KEY], moved)], stage_read(spark, stage, f"all-{child}"))
 

@@ -1,6 +1,8 @@
 """What the loads move and write: compressed pages, narrow child rows, no driver-built join sides."""
 import glob
 
+from pyspark.sql import functions as F
+
 
 def test_landed_pages_are_compressed(spark, tables001, tmp_path):
     from roadrisk.sources.files import land_chunks, land_pages, read_feature_json, read_id_range
@@ -11,3 +13,13 @@ def test_landed_pages_are_compressed(spark, tables001, tmp_path):
     assert files and all(f.endswith(".json.gz") for f in files)
     assert read_feature_json(spark, str(tmp_path / "pages"), "causas").count() == 500
     assert read_id_range(spark, str(tmp_path / "chunks"), "causas").count() == 500
+
+
+def test_a_batch_is_not_built_in_the_driver(spark):
+    """The staged side of a merge's join is shuffled, however small its files make it look."""
+    from roadrisk.plans.merge import _any_size
+    rows, keys = spark.range(100).withColumn("v", F.col("id") * 2), spark.range(10)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan(rows.join(keys, "id"))
+    for how in ("inner", "left_semi", "left_anti"):
+        assert "SortMergeJoin" in plan(rows.join(_any_size(keys), "id", how))
