@@ -21,6 +21,7 @@ store lacks.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -32,7 +33,7 @@ from roadrisk.operators.integrity import pk_violations
 from roadrisk.schemas import ALL_TABLES, CHILD_TABLES, VARCHAR_LIMITS
 from roadrisk.plans.commit import PARTITIONS, drop_cells, months_of, recover
 from roadrisk.session import drop_scratch, scratch_path
-from roadrisk.sources.files import (append_table, bad_pages, flatten_pages, land_pages, read_pages,
+from roadrisk.sources.files import (CODEC, append_table, bad_pages, flatten_pages, land_pages, read_pages,
                                     stage_read, stage_write)
 
 
@@ -79,18 +80,23 @@ def with_accident_month(child: DataFrame, accidents: DataFrame) -> DataFrame:
     return child.join(accidents.select("FORMULARIO", *PARTITIONS), "FORMULARIO").select(*child.columns, *PARTITIONS)
 
 
-def write_store(tables: dict[str, DataFrame], store_dir: str, mode: str = "overwrite") -> dict[str, str]:
+def write_store(tables: dict[str, DataFrame], store_dir: str, mode: str = "overwrite",
+                made_of: Callable[[str, DataFrame], DataFrame] | None = None) -> dict[str, str]:
     """Write the tables partitioned by the accident's month.
 
     REBALANCE lets AQE group rows by partition -- few files per month -- while still
-    splitting a month that is too large for one task.
+    splitting a month that is too large for one task. Child rows given as the narrow rows
+    they are made of are turned into the table's own by ``made_of`` only after that shuffle.
     """
     paths = {}
     for name, df in tables.items():
         path = f"{store_dir.rstrip('/')}/{name}"
         if name == "siniestros" and "part_year" not in df.columns:
             df = in_own_month(df)
-        df.hint("rebalance", *PARTITIONS).write.mode(mode).partitionBy(*PARTITIONS).parquet(path)
+        df = df.hint("rebalance", *PARTITIONS)
+        if made_of is not None and name in CHILD_TABLES:
+            df = made_of(name, df)
+        df.write.mode(mode).partitionBy(*PARTITIONS).parquet(path, compression=CODEC)
         paths[name] = path
     return paths
 

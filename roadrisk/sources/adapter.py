@@ -58,7 +58,7 @@ def sql_case(key: str, mapping: dict) -> str:
 
 
 def sql_array(values) -> str:
-    return "array(" + ", ".join(_q(v) for v in values) + ")"
+    return "array(" + ", ".join("NULL" if v is None else _q(v) for v in values) + ")"
 
 
 def formulario_sql(key: str) -> str:
@@ -106,6 +106,19 @@ def accidents_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         *GEOMETRY_SQL)
 
 
+#: Every child layer is a *source* (its join key and the few table columns it is made of) and a
+#: *layer* of it (its wide text columns, by expressions alone), so a load can move source rows and
+#: make the layer where it is written. Of a key that a layer only reads by remainders, the source
+#: holds a remainder that gives them all.
+LINE_SQL = ["l_orderkey * 8 + l_linenumber AS OBJECTID", f"{formulario_sql('l_orderkey')} AS FORMULARIO"]
+CARRIED = ["part_year", "part_month"]
+
+
+def _layer(source: DataFrame, exprs: list[str]) -> DataFrame:
+    """The layer of source rows; partition columns that they carry stay."""
+    return source.selectExpr(*exprs, *[c for c in CARRIED if c in source.columns])
+
+
 def _persons(spark: SparkSession, sf_dir: str, line_filter: str, order_filter: str) -> DataFrame:
     li = _read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag")
@@ -115,8 +128,7 @@ def _persons(spark: SparkSession, sf_dir: str, line_filter: str, order_filter: s
 
 
 PERSON_SQL = [
-    "l_orderkey * 8 + l_linenumber AS OBJECTID",
-    f"{formulario_sql('l_orderkey')} AS FORMULARIO",
+    "OBJECTID", "FORMULARIO",
     "CAST(NULL AS STRING) AS LOCALIDAD",
     f"{CLASE_ACC_SQL} AS CLASE_ACC",
     f"{CONDITION_SQL} AS CONDICION",
@@ -125,45 +137,64 @@ PERSON_SQL = [
 ]
 
 
-def injured_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    j = _persons(spark, sf_dir, "l_returnflag = 'R'", "o_orderstatus IN ('F', 'O')")
-    return j.selectExpr(*PERSON_SQL, f"{accident_time_sql()} AS FECHA_HORA_ACC", *GEOMETRY_SQL)
+PERSON_SOURCE_SQL = [*LINE_SQL, "l_partkey", "l_suppkey % 5 AS l_suppkey", "o_custkey % 700 AS o_custkey", "substring(o_orderpriority, 1, 1) AS o_orderpriority",
+                     f"{accident_time_sql()} AS FECHA_HORA_ACC"]
+
 
+def injured_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _persons(spark, sf_dir, "l_returnflag = 'R'", "o_orderstatus IN ('F', 'O')").selectExpr(*PERSON_SOURCE_SQL)
 
-def killed_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+def injured_layer(source: DataFrame) -> DataFrame:
+    return _layer(source, [*PERSON_SQL, "FECHA_HORA_ACC", *GEOMETRY_SQL])
+
+
+def killed_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = _persons(spark, sf_dir, "l_returnflag = 'A' AND l_quantity >= 49", "o_orderstatus IN ('F', 'O')")
     j = j.filter("(l_quantity >= 49 AND o_orderstatus = 'F') OR "
                  "(l_quantity = 50 AND l_suppkey % 10 = 0 AND o_orderstatus = 'O')")
-    return j.selectExpr(
+    return j.selectExpr(*PERSON_SOURCE_SQL)
+
+
+def killed_layer(source: DataFrame) -> DataFrame:
+    return _layer(source, [
         *PERSON_SQL,
         "CASE l_partkey % 3 WHEN 0 THEN 'S' WHEN 1 THEN 'N' END AS MUERTE_POSTERIOR",
-        f"CASE WHEN l_partkey % 3 = 0 THEN {accident_time_sql()} + (l_partkey % 20) * 86400000 END AS FECHA_POSTERIOR_MUERTE",
-        f"{accident_time_sql()} AS FECHA_HORA_ACC", *GEOMETRY_SQL)
+        "CASE WHEN l_partkey % 3 = 0 THEN FECHA_HORA_ACC + (l_partkey % 20) * 86400000 END AS FECHA_POSTERIOR_MUERTE",
+        "FECHA_HORA_ACC", *GEOMETRY_SQL])
 
 
-def vehicles_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def vehicles_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag")
     # One row per part key (see accidents_raw): queries that never read CLASE skip the join.
     p = _read(spark, sf_dir, "part").groupBy("p_partkey").agg(F.max("p_type").alias("p_type"))
     return li.join(p, li.l_partkey == p.p_partkey, "left").selectExpr(
-        "l_orderkey * 8 + l_linenumber AS OBJECTID",
-        f"{formulario_sql('l_orderkey')} AS FORMULARIO",
+        *LINE_SQL, "l_linenumber", "l_partkey % (31 * 101) AS l_partkey", "l_suppkey % (19 * 7) AS l_suppkey", "l_returnflag",
+        f"array_position({sql_array(VEHICLE_CLASS_BY_TYPE)}, split(p_type, chr(32))[0]) AS p_type")
+
+
+def vehicles_layer(source: DataFrame) -> DataFrame:
+    return _layer(source, [
+        "OBJECTID", "FORMULARIO",
         "CAST(CASE WHEN l_partkey % 31 = 0 THEN NULL ELSE l_linenumber END AS INT) AS CODIGO_VEHICULO",
-        f"{sql_case('split(p_type, chr(32))[0]', VEHICLE_CLASS_BY_TYPE)} AS CLASE",
+        f"element_at({sql_array([None, *VEHICLE_CLASS_BY_TYPE.values()])}, CAST(p_type + 1 AS INT)) AS CLASE",
         f"CASE WHEN l_suppkey % 19 = 0 THEN CAST(NULL AS STRING) "
         f"ELSE {sql_case('l_returnflag', SERVICE_BY_FLAG)} END AS SERVICIO",
         "CASE WHEN l_suppkey % 7 = 0 THEN 'URBANO' END AS MODALIDAD",
-        "CASE WHEN l_partkey % 101 = 0 THEN CAST(NULL AS STRING) ELSE 'N' END AS ENFUGA")
+        "CASE WHEN l_partkey % 101 = 0 THEN CAST(NULL AS STRING) ELSE 'N' END AS ENFUGA"])
 
 
-def actors_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def actors_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag")
+    return li.selectExpr(*LINE_SQL, "l_linenumber", "l_partkey", "l_suppkey % 5 AS l_suppkey", "l_quantity >= 49 AS large", "l_returnflag")
+
+
+def actors_layer(source: DataFrame) -> DataFrame:
     cond = f"CASE WHEN l_partkey % 23 = 0 THEN CAST(NULL AS STRING) ELSE {CONDITION_SQL} END"
-    return li.selectExpr("*", f"{cond} AS _cond").selectExpr(
-        "l_orderkey * 8 + l_linenumber AS OBJECTID",
-        f"{formulario_sql('l_orderkey')} AS FORMULARIO",
+    return _layer(source.selectExpr("*", f"{cond} AS _cond"), [
+        "OBJECTID", "FORMULARIO",
         "CAST(l_linenumber AS INT) AS CODIGO_VICTIMA",
         "CAST(CASE WHEN _cond IS NULL OR _cond IN ('PEATON', 'PASAJERO') THEN NULL "
         "ELSE l_linenumber END AS INT) AS CODIGO_VEHICULO",
@@ -171,25 +202,28 @@ def actors_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{GENDER_SQL} AS GENERO",
         f"{AGE_SQL} AS EDAD",
         "CASE WHEN l_partkey % 17 = 0 THEN CAST(NULL AS STRING) "
-        "WHEN l_returnflag = 'A' AND l_quantity >= 49 THEN 'MUERTO' "
+        "WHEN l_returnflag = 'A' AND large THEN 'MUERTO' "
         "WHEN l_returnflag = 'R' THEN 'HERIDO' ELSE 'ILESO' END AS ESTADO",
         "CASE WHEN l_partkey % 41 = 0 THEN 'S' WHEN l_partkey % 2 = 0 THEN CAST(NULL AS STRING) "
         "ELSE 'N' END AS MUERTE_POSTERIOR",
-        "CASE WHEN l_partkey % 41 = 0 THEN 946684800000 + (l_partkey % 365) * 86400000 END AS FECHA_POSTERIOR_MUERTE")
+        "CASE WHEN l_partkey % 41 = 0 THEN 946684800000 + (l_partkey % 365) * 86400000 END AS FECHA_POSTERIOR_MUERTE"])
 
 
-def causes_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def causes_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
+    return li.selectExpr(*LINE_SQL, "l_linenumber", "l_partkey")
+
+
+def causes_layer(source: DataFrame) -> DataFrame:
     tipo = (f"CASE WHEN l_partkey % 37 = 0 THEN CAST(NULL AS STRING) "
             f"ELSE element_at({sql_array(CAUSE_TYPES)}, CAST(l_partkey % 5 AS INT) + 1) END")
-    return li.selectExpr("*", "CAST(l_partkey % 108 AS STRING) AS _code", f"{tipo} AS _tipo").selectExpr(
-        "l_orderkey * 8 + l_linenumber AS OBJECTID",
-        f"{formulario_sql('l_orderkey')} AS FORMULARIO",
+    return _layer(source.selectExpr("*", "CAST(l_partkey % 108 AS STRING) AS _code", f"{tipo} AS _tipo"), [
+        "OBJECTID", "FORMULARIO",
         "CAST(l_linenumber AS INT) AS CODIGO_VEHICULO",
         "_code AS CODIGO_CAUSA",
         "CASE WHEN _code = '0' THEN 'OTRAS' ELSE concat('CAUSA ', _code) END AS NOMBRE",
         "_tipo AS TIPO",
-        f"{sql_case('_tipo', CAUSE_TYPE_NAMES)} AS TIPO_CAUSA")
+        f"{sql_case('_tipo', CAUSE_TYPE_NAMES)} AS TIPO_CAUSA"])
 
 
 def grid_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,11 +237,18 @@ def grid_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ELSE concat(c_mktsegment, ' ', n_name) END AS MVINOMBRE")
 
 
-RAW_LAYERS = {
-    "siniestros": accidents_raw,
-    "conheridos": injured_raw,
-    "confallecidos": killed_raw,
-    "vehiculos": vehicles_raw,
-    "actores": actors_raw,
-    "causas": causes_raw,
+CHILD_LAYERS = {
+    "conheridos": (injured_source, injured_layer),
+    "confallecidos": (killed_source, killed_layer),
+    "vehiculos": (vehicles_source, vehicles_layer),
+    "actores": (actors_source, actors_layer),
+    "causas": (causes_source, causes_layer),
 }
+
+
+def _child_raw(name: str):
+    source, layer = CHILD_LAYERS[name]
+    return lambda spark, sf_dir: layer(source(spark, sf_dir))
+
+
+RAW_LAYERS = {"siniestros": accidents_raw, **{name: _child_raw(name) for name in CHILD_LAYERS}}

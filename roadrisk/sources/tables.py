@@ -39,6 +39,15 @@ class Tables:
             self._clean[name] = CLEANERS[name](self.raw(name))
         return self._clean[name]
 
+    def source(self, child: str) -> DataFrame:
+        """The rows that a child table is made of: FORMULARIO and few narrow columns."""
+        return adapter.CHILD_LAYERS[child][0](self.spark, self.sf_dir)
+
+    @staticmethod
+    def made_of(child: str, source: DataFrame) -> DataFrame:
+        """The clean child table of source rows; partition columns that they carry stay."""
+        return CLEANERS[child](adapter.CHILD_LAYERS[child][1](source))
+
     def __getitem__(self, name: str) -> DataFrame:
         if name == "malla":
             return self.grid

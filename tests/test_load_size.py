@@ -3,6 +3,8 @@ import glob
 
 from pyspark.sql import functions as F
 
+from roadrisk.schemas import CHILD_TABLES
+
 
 def test_landed_pages_are_compressed(spark, tables001, tmp_path):
     from roadrisk.sources.files import land_chunks, land_pages, read_feature_json, read_id_range
@@ -15,6 +17,22 @@ def test_landed_pages_are_compressed(spark, tables001, tmp_path):
     assert read_id_range(spark, str(tmp_path / "chunks"), "causas").count() == 500
 
 
+def test_child_rows_are_made_after_the_shuffles(spark, tables001, tmp_path):
+    """A store of source rows holds the rows that the clean tables have, and what is shuffled
+    has no column of text but the key and a flag."""
+    from roadrisk.plans.load import PARTITIONS, read_store, with_accident_month, write_store
+    t = tables001
+    for c in CHILD_TABLES:
+        text = [f for f, kind in t.source(c).dtypes if kind == "string"]
+        assert set(text) <= {"FORMULARIO", "l_returnflag", "o_orderpriority"}, (c, text)
+    write_store({c: with_accident_month(t.source(c), t.siniestros) for c in CHILD_TABLES}, str(tmp_path), made_of=t.made_of)
+    for c in CHILD_TABLES:
+        want = with_accident_month(t[c], t.siniestros)
+        have = spark.read.parquet(f"{tmp_path}/{c}").select(*t[c].columns, *PARTITIONS)
+        assert want.exceptAll(have).isEmpty() and have.exceptAll(want).isEmpty(), c
+    assert glob.glob(f"{tmp_path}/causas/**/*.zstd.parquet", recursive=True)
+
+
 def test_a_batch_is_not_built_in_the_driver(spark):
     """The staged side of a merge's join is shuffled, however small its files make it look."""
     from roadrisk.plans.merge import _any_size
