@@ -41,3 +41,45 @@ def test_a_batch_is_not_built_in_the_driver(spark):
     assert "BroadcastHashJoin" in plan(rows.join(keys, "id"))
     for how in ("inner", "left_semi", "left_anti"):
         assert "SortMergeJoin" in plan(rows.join(_any_size(keys), "id", how))
+
+
+def test_only_accidents_with_other_rows_are_compared(spark, tmp_path):
+    """Sums by accident see other values, values that changed places with nulls, and copies."""
+    from roadrisk.plans.load import may_match, stage_differing
+    schema = "FORMULARIO string, a string, b string"
+    rows = [("A1", "x", None), ("A1", "y", "z"), ("A2", "x", "y"), ("A2", "x", "y"), ("A3", None, "q"), ("A4", "k", "k"), ("A5", "n", "n"), (None, "o", "o")]
+    held = [("A1", "y", "z"), ("A1", "x", None), ("A2", "x", "y"), ("A3", "q", None), ("A4", "k", "l"), ("A6", "m", "m")]
+    wanted, stored = spark.createDataFrame(rows, schema), spark.createDataFrame(held, schema)
+    found = stage_differing(spark, str(tmp_path), "causas", wanted, stored)
+    assert {r.FORMULARIO for r in found.collect()} == {"A2", "A3", "A4", "A5", None}
+    many = spark.range(20_000).selectExpr("concat('A', id) AS FORMULARIO")
+    keys = many.where("FORMULARIO LIKE '%77'")
+    kept = may_match(many, keys)
+    assert keys.exceptAll(kept).isEmpty() and kept.count() < 3_000
+    assert may_match(many, keys.limit(0)).isEmpty()
+
+
+def test_late_rows_that_are_stored_move_no_text(spark, tables001, tmp_path):
+    """Child rows that the store has are found by their accidents' sums; what differs is added, once."""
+    from roadrisk.plans.load import append_late_children, read_store, with_accident_month, write_store
+    t, store = tables001, str(tmp_path / "store")
+    write_store({"siniestros": t.siniestros, **{c: with_accident_month(t[c], t.siniestros) for c in CHILD_TABLES}}, store)
+    raw = t.raw("vehiculos").limit(300)
+    assert append_late_children(spark, store, {"vehiculos": raw})["vehiculos"] == 0
+    other = raw.limit(7).withColumn("CLASE", F.lit("TRACTOR"))
+    assert append_late_children(spark, store, {"vehiculos": raw.unionByName(other)})["vehiculos"] == 7
+    assert append_late_children(spark, store, {"vehiculos": raw.unionByName(other)})["vehiculos"] == 0
+    assert read_store(spark, store)["vehiculos"].where("CLASE = 'TRACTOR'").count() == 7
+
+
+def test_pages_of_source_rows(spark, tables001, tmp_path):
+    """Pages made of narrow rows hold the raw layer, and their shuffle has no column of its text."""
+    from roadrisk.sources.files import as_pages, land_pages, read_feature_json
+    t = tables001
+    for c in CHILD_TABLES:
+        pages = as_pages(t.source(c), c, layer_of=t.layer_of)
+        plan = pages._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Repartition") == 1 and "feature#" not in plan[plan.index("Repartition"):], c
+        land_pages(t.source(c), str(tmp_path / c), c, layer_of=t.layer_of)
+        have, want = read_feature_json(spark, str(tmp_path / c), c), t.raw(c)
+        assert want.exceptAll(have).isEmpty() and have.exceptAll(want).isEmpty(), c
