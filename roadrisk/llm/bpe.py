@@ -8,7 +8,9 @@ pieces (as little-endian 32-bit integers) in a cache of two generations of bound
 
 A plain piece (a space or line break, Latin letters, closing punctuation) is handed to
 the tokenizer's BPE model word by word, which skips most of the library's cost per call;
-any other piece goes through its whole pipeline. Which white space and case the model
+any other piece goes through its whole pipeline. Where words lose their space and case, a
+column's different plain pieces are trimmed, lower-cased and encoded as columns, without a
+Python object or cache entry a piece. Which white space and case the model
 gets is found by probing the pipeline, and the short way is off if the probes differ.
 
 New words are encoded in bulk by tiktoken, from the same file's entries: space-led words of
@@ -45,7 +47,12 @@ _PLAINS = re.compile(r"([ \n]?)([A-Za-zÀ-ÖØ-öø-ÿ]{1,50})([.,!?;:]{0,10})\x
 _CUT = "\x01"
 #: Texts that Arrow can't cut: they hold the mark, or a cut that would follow white space.
 _ODD = r"\x01|[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}][ \n]"
+#: ``_PLAINS`` for one piece, and the letters of such a piece.
+_PLAIN_PIECE = r"^[ \n]?[A-Za-zÀ-ÖØ-öø-ÿ]{1,50}[.,!?;:]{0,10}\z"
+_LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]+"
 _CHUNK = 2 << 20
+#: Where different pieces are encoded in bulk: the more text, the fewer of them.
+_BULK_CHUNK = 4 << 20
 _PROBES = [" Probe.", "\nÉtude,", "Straße!?", " a", "Ñandú", " ÀÖØÞ;:", "word", "\nUnd."]
 
 
@@ -97,6 +104,11 @@ class Encoder:
             code |= {chars[b] + suffix: bytes([1 + len(inner) + k]) for k, b in enumerate(final)}
             spell = lambda x, end: "".join(code[chars[b] + e].decode() for b, e in zip(x.encode(), [""] * (len(x.encode()) - 1) + [end]))
             self._inner, self._final = {ord(x): spell(x, "") for x in letters}, {x: spell(x, suffix) for x in letters}
+            self._inner_bytes, self._final_bytes = np.zeros(256, np.uint8), np.zeros(256, np.uint8)
+            for k, b in enumerate(inner):
+                self._inner_bytes[b] = 1 + k
+            for k, b in enumerate(final):
+                self._final_bytes[b] = 1 + len(inner) + k
             pattern = rf"[\x01-\x{len(inner):02x}]*[\x{len(inner) + 1:02x}-\x{len(code):02x}]"
         else:
             return
@@ -230,7 +242,8 @@ class Encoder:
         row's begin (null: the end id alone)."""
         column, tail = column.cast(pa.large_string()).fill_null(""), end_id.to_bytes(4, "little")
         sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
-        for lo, hi in chunks(np.r_[0, np.cumsum(sizes)], _CHUNK):
+        by_column = self._bulk and self._final  # words without their space, one character a symbol
+        for lo, hi in chunks(np.r_[0, np.cumsum(sizes)], _BULK_CHUNK if by_column else _CHUNK):
             texts = column.slice(lo, hi - lo)
             odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False)
             easy = pc.if_else(pa.array(odd), "", texts)
@@ -238,16 +251,51 @@ class Encoder:
                 easy = pc.replace_substring(easy, c, _CUT + c)
             cut = pc.split_pattern(easy, _CUT)
             pieces = cut.flatten().dictionary_encode()
-            known = self._look_up(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())
-            parts = list(map(known.__getitem__, pieces.indices.to_numpy().tolist()))
-            at = (cut.offsets.to_numpy() - cut.offsets[0].as_py()).tolist()
-            rows = [b"".join(parts[a:z]) + tail for a, z in zip(at, at[1:])]
+            at = cut.offsets.to_numpy() - cut.offsets[0].as_py()
+            if by_column:
+                ids = self._piece_ids(pieces.dictionary).take(pieces.indices)
+                _, ends, data = ids.buffers()
+                at, data = np.frombuffer(ends, np.int64)[at].tolist(), memoryview(data or b"")
+                rows = [bytes(data[a:z]) + tail for a, z in zip(at, at[1:])]
+            else:
+                known = self._look_up(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())
+                parts = list(map(known.__getitem__, pieces.indices.to_numpy().tolist()))
+                at = at.tolist()
+                rows = [b"".join(parts[a:z]) + tail for a, z in zip(at, at[1:])]
             for k in np.flatnonzero(odd).tolist():
                 rows[k] = self._one(texts[k].as_py()) + tail
             offsets = np.r_[0, np.cumsum([len(r) // 4 for r in rows])]
             out = np.frombuffer(b"".join(rows), "<u4")
             yield lo, hi, out, offsets
 
+    def _piece_ids(self, pieces: pa.Array) -> pa.Array:
+        """Ids of different pieces as a column of bytes: the words of all plain pieces are encoded
+        as one text, without a Python object a piece; other pieces are looked up one by one."""
+        plain = pc.match_substring_regex(pieces, _PLAIN_PIECE)
+        led = pc.ascii_ltrim(pieces.filter(plain), " \n")
+        words = pc.utf8_lower(pc.ascii_rtrim(led, ".,!?;:")).dictionary_encode()
+        stops = pc.replace_substring_regex(led, _LETTERS, "").dictionary_encode()
+        stop_ids = pa.array([self._bpe(x) if x else b"" for x in stops.dictionary.to_pylist()], pa.large_binary())
+        easy = pc.binary_join_element_wise(self._word_ids(words.dictionary).take(words.indices), stop_ids.take(stops.indices),
+                                           pa.scalar(b"", pa.large_binary()))
+        hard = pa.array(self._look_up(pieces.filter(pc.invert(plain)).to_pylist()), pa.large_binary())
+        is_plain = plain.to_numpy(zero_copy_only=False)
+        place = np.where(is_plain, np.cumsum(is_plain) - 1, len(easy) + np.cumsum(~is_plain) - 1)
+        return pa.concat_arrays([easy, hard]).take(pa.array(place))
+
+    def _word_ids(self, words: pa.Array) -> pa.Array:
+        """Ids of different lower-case plain words as a column of bytes."""
+        if not len(words):
+            return pa.array([], pa.large_binary())
+        _, ends, data = words.buffers()
+        ends = np.frombuffer(ends, np.int64)[words.offset:words.offset + len(words) + 1]
+        data, ends = np.frombuffer(data, np.uint8)[ends[0]:ends[-1]], ends[1:] - ends[0]
+        spelt = self._inner_bytes[data]
+        spelt[ends - 1] = self._final_bytes[data[ends - 1]]
+        ids = np.asarray(self._bulk.encode_ordinary(spelt.tobytes().decode()), "<u4")
+        at = np.r_[0, np.searchsorted(np.cumsum(self._lengths[ids]), ends) + 1] * 4
+        return pa.Array.from_buffers(pa.large_binary(), len(words), [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(ids)])
+
     def _one(self, text: str) -> bytes:
         if _CUT in text or _DOUBLE.search(text):
             pieces = _PIECE.findall(text)

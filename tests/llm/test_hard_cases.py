@@ -289,3 +289,23 @@ def test_secrets(spark, hard, none):
 
 def test_hard_tables_have_the_clashing_columns(hard):
     assert {"n_words", "score", "n_lines", "pii"} <= set(hard.columns) and hard.where(F.col("text").isNull()).count() == 1
+
+
+def test_plain_pieces_of_a_column_are_encoded_without_a_look_up_each():
+    from tokenizers import Tokenizer
+    whole, enc = Tokenizer.from_file(WORD), bpe.Encoder(WORD)
+    asked, look_up = [], enc._look_up
+    enc._look_up = lambda pieces: asked.extend(pieces) or look_up(pieces)
+    words = [f"Gl{a}{b}ork{c}" for a in "aeiouß" for b in "bdfgÉñ" for c in ("", "t", "Ü", ".", "?!", "...,;")]
+    texts = [" ".join(words), None, "", "one\nTwo. three", "x" * 51 + " " + "é" * 50 + "!" * 11, "ÀÖØÞ àöøþÿ! don't 3rd ÷ × İstanbul ΣΑΣ Ǆ",
+             "two  spaces\n\nodd", "mark \x01 in it", " lead", "trail ", ".", "\n", words[0]]
+    for lo in (0, 3):  # a slice too
+        column = pa.array(texts)[lo:]
+        (_, _, ids, offsets), = enc.columns(column, 2)
+        want = [[*whole.encode(t or "", add_special_tokens=False).ids, 2] for t in column.to_pylist()]
+        assert [ids[a:z].tolist() for a, z in zip(offsets, offsets[1:])] == want
+        assert np.diff(offsets).tolist() == list(map(len, want))
+    assert not {p.strip() for p in asked} & set(words)
+    assert len(enc._new) < len(words)
+    (_, _, ids, _), = enc.columns(pa.array([None, ""], pa.string()), 2)
+    assert ids.tolist() == [2, 2]
