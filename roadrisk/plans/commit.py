@@ -80,6 +80,12 @@ def in_months(months: list[Month]) -> Column:
     return F.expr(f"coalesce(part_year * 100 + part_month, -1) IN ({', '.join(known)})") if known else F.lit(False)
 
 
+def any_size(staged: DataFrame) -> DataFrame:
+    """A staged side of a join that grows with the batch. Its files are many times smaller than
+    its rows, so Spark would take it for small and build it in the driver: shuffled instead."""
+    return staged.hint("merge")
+
+
 def months_of(df: DataFrame) -> dict[Month, int]:
     """Rows of each month; a row a month comes to the driver."""
     return {(r[0], r[1]): r["n"] for r in df.groupBy(*PARTITIONS).agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -103,9 +109,9 @@ def commit(spark: SparkSession, store_dir: str, changes: dict[str, Change]) -> d
         stored = spark.read.parquet(f"{store_dir.rstrip('/')}/{name}")
         hit = []
         for k, (cols, keys) in enumerate(change.gone):
-            rows = stored.join(keys.select(*cols).distinct(), cols, "left_semi")
+            rows = stored.join(any_size(keys.select(*cols).distinct()), cols, "left_semi")
             for earlier, others in change.gone[:k]:  # a row that two keys hit counts once
-                rows = rows.join(others.select(*earlier).distinct(), earlier, "left_anti")
+                rows = rows.join(any_size(others.select(*earlier).distinct()), earlier, "left_anti")
             hit.append(rows.select(*PARTITIONS))
         lose = months_of(reduce(DataFrame.union, hit)) if hit else {}
         gain = months_of(change.new) if change.new is not None else {}
@@ -114,7 +120,7 @@ def commit(spark: SparkSession, store_dir: str, changes: dict[str, Change]) -> d
             return
         rows = stored.where(in_months(list(lose)))
         for cols, keys in change.gone:
-            rows = rows.join(keys.select(*cols).distinct(), cols, "left_anti")
+            rows = rows.join(any_size(keys.select(*cols).distinct()), cols, "left_anti")
         rows = rows.select(*stored.columns)
         if gain:
             rows = rows.unionByName(change.new.select(*stored.columns))

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from roadrisk.functions.calendar import previous_month_filter
 from roadrisk.functions.cleaning import CLEANERS
 from roadrisk.plans.commit import PARTITIONS, Change, commit, in_months, months_of, recover, side_by_side
+from roadrisk.plans.commit import any_size as _any_size
 from roadrisk.plans.load import check_batch, in_own_month, missing_rows, read_store
 from roadrisk.schemas import CHILD_TABLES
 from roadrisk.session import drop_scratch, scratch_path
@@ -33,12 +34,6 @@ from roadrisk.sources.files import stage_read, stage_write
 KEY = "FORMULARIO"
 
 
-def _any_size(staged: DataFrame) -> DataFrame:
-    """A staged side of a join that grows with the batch. Its files are many times smaller than
-    its rows, so Spark would take it for small and build it in the driver: shuffled instead."""
-    return staged.hint("merge")
-
-
 def latest(df: DataFrame, key: str, version: str | None = None) -> DataFrame:
     """The rows of each key's greatest version (null versions come first), without that
     column; all rows if there is none. A key's versions are reduced before the shuffle."""
@@ -46,21 +41,21 @@ def latest(df: DataFrame, key: str, version: str | None = None) -> DataFrame:
         return df
     cols = [c for c in df.columns if c != version]
     top = df.groupBy(F.col(key).alias("_key")).agg(F.max(version).alias("_top"))
-    return df.join(top, F.col(key).eqNullSafe(F.col("_key")) & F.col(version).eqNullSafe(F.col("_top"))).select(*cols)
+    return df.join(_any_size(top), F.col(key).eqNullSafe(F.col("_key")) & F.col(version).eqNullSafe(F.col("_top"))).select(*cols)
 
 
 def changed_rows(wanted: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     """Rows of the keys whose rows ``stored`` doesn't hold just as ``wanted`` has them."""
     cols = wanted.columns
-    held = stored.select(*cols).join(wanted.select(key).distinct(), key, "left_semi").select(*cols)
+    held = stored.select(*cols).join(_any_size(wanted.select(key).distinct()), key, "left_semi").select(*cols)
     differ = (wanted.withColumn("_n", F.lit(1)).union(held.withColumn("_n", F.lit(-1)))
               .groupBy(*cols).agg(F.sum("_n").alias("_n")).where("_n <> 0").select(key).distinct())
-    return wanted.join(differ, key, "left_semi").select(*cols)
+    return wanted.join(_any_size(differ), key, "left_semi").select(*cols)
 
 
 def _touched(stored: DataFrame, keys: list[tuple[list[str], DataFrame]]) -> DataFrame:
     """Stored rows of the months that hold a row with one of the keys."""
-    found = [stored.select(*cols, *PARTITIONS).join(k.select(*cols).distinct(), cols, "left_semi").select(*PARTITIONS) for cols, k in keys]
+    found = [stored.select(*cols, *PARTITIONS).join(_any_size(k.select(*cols).distinct()), cols, "left_semi").select(*PARTITIONS) for cols, k in keys]
     return stored.where(in_months(list(months_of(reduce(DataFrame.union, found)))))
 
 
@@ -90,7 +85,7 @@ def merge_batch(spark: SparkSession, store_dir: str, accidents_raw: DataFrame, c
 
         # where every accident of the batch lies and where it shall lie
         named = reduce(DataFrame.union, [df.select(KEY) for df in (batch, *kids.values())]).distinct()
-        known = stored["siniestros"].select(KEY, *PARTITIONS).join(named, KEY, "left_semi")
+        known = stored["siniestros"].select(KEY, *PARTITIONS).join(_any_size(named), KEY, "left_semi")
         old, new = [f"old_{p}" for p in PARTITIONS], [f"new_{p}" for p in PARTITIONS]
         place = (known.toDF(KEY, *old).withColumn("stored", F.lit(True))
                  .join(batch.select(KEY, *PARTITIONS).toDF(KEY, *new).withColumn("pulled", F.lit(True)), KEY, "full"))
@@ -124,7 +119,7 @@ def merge_batch(spark: SparkSession, store_dir: str, accidents_raw: DataFrame, c
                       .select(*placed.columns))
             # rows without an id: what the store lacks, counted where their accident's rows lie now
             lies = placed.columns[:-len(PARTITIONS)]
-            held = (stored[child].where("OBJECTID IS NULL").join(free.select(KEY).distinct(), KEY, "left_semi"))
+            held = (stored[child].where("OBJECTID IS NULL").join(_any_size(free.select(KEY).distinct()), KEY, "left_semi"))
             lacking = missing_rows(free.select(*lies), held.select(*lies))
             lacking = lacking.join(_any_size(place.select(KEY, *PARTITIONS)), KEY).select(*placed.columns)
             stage_write(fresh.unionByName(follow).unionByName(lacking), stage, f"all-{child}")

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from roadrisk.plans.commit import any_size
 from roadrisk.plans.load import read_store
 from roadrisk.plans.merge import merge_batch
 from roadrisk.schemas import ALL_TABLES, BAD_FIELD, CHILD_TABLES, ERROR_FIELD, GEOMETRY_LAYERS, RAW_ATTRIBUTES, checked_page_schema
@@ -87,10 +88,10 @@ def start_intake(spark: SparkSession, landing: str, store_dir: str, work: str, f
         known = read_store(s, store_dir)["siniestros"].select("FORMULARIO").union(accidents.select("FORMULARIO")).distinct()
         owner = F.coalesce(*(F.col(f"{c}.FORMULARIO") for c in CHILD_TABLES))
         children = rows.where(reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in CHILD_TABLES])).withColumn("FORMULARIO", owner)
-        waits = children.join(known, "FORMULARIO", "left_anti").select(*WAITING_SCHEMA.fieldNames())
+        waits = children.join(any_size(known), "FORMULARIO", "left_anti").select(*WAITING_SCHEMA.fieldNames())
         waits.write.mode("overwrite").parquet(_numbered(work, "waiting", epoch))
         rows.where("bad IS NOT NULL").select("bad.*").write.mode("overwrite").parquet(_numbered(work, "bad", epoch))
-        here = children.join(known, "FORMULARIO", "left_semi")
+        here = children.join(any_size(known), "FORMULARIO", "left_semi")
         merge_batch(s, store_dir, accidents, {c: _of(here, c) for c in CHILD_TABLES}, version="landed")
         # only now that the accidents are stored may the rows that wait for them go on
         keys = rows.where("siniestros IS NOT NULL").groupBy("siniestros.FORMULARIO").agg(F.max("landed").alias("landed"))
@@ -114,15 +115,18 @@ def start_waiting(spark: SparkSession, store_dir: str, work: str, patience: str
                                     f"AND k.k_landed <= c.landed + INTERVAL {patience}"), "leftOuter")
 
     def body(batch: DataFrame, epoch: int) -> None:
-        s, path = batch.sparkSession, scratch_path(spark, "waited")
+        path = scratch_path(spark, "waited")
         batch.write.parquet(path)
-        rows = s.read.schema(batch.schema).parquet(path)
-        known = read_store(s, store_dir)["siniestros"].select("FORMULARIO")
-        vain = rows.where("k_formulario IS NULL").join(known, "FORMULARIO", "left_anti")
+        # in the caller's session: that of a stream with state has no adaptive execution, so every join
+        # of the merge would have all its shuffle partitions, however few rows they hold
+        rows = spark.read.schema(batch.schema).parquet(path)
+        known = read_store(spark, store_dir)["siniestros"].select("FORMULARIO")
+        vain = rows.where("k_formulario IS NULL").join(any_size(known), "FORMULARIO", "left_anti")
         vain.select(*WAITING_SCHEMA.fieldNames()).write.mode("overwrite").parquet(_numbered(work, "unmatched", epoch))
-        none = s.createDataFrame([], T.StructType([*row_schema("siniestros"), T.StructField("landed", T.TimestampType())]))
-        merge_batch(s, store_dir, none, {c: _of(rows, c) for c in CHILD_TABLES}, version="landed")
-        drop_scratch(s, path)
+        if not rows.isEmpty():  # a batch that only moves the watermark changes nothing
+            none = spark.createDataFrame([], T.StructType([*row_schema("siniestros"), T.StructField("landed", T.TimestampType())]))
+            merge_batch(spark, store_dir, none, {c: _of(rows, c) for c in CHILD_TABLES}, version="landed")
+        drop_scratch(spark, path)
 
     return (joined.writeStream.foreachBatch(body).option("checkpointLocation", f"{work}/checkpoint-waiting")
             .trigger(availableNow=True).start())

@@ -211,3 +211,34 @@ def test_month_cells_follow_every_change(spark, tables001, tmp_path):
     same("1999-12-31")  # March has no cells
     plan = cells.build_features(spark, store, t.grid, "1999-10-14", 2)._jdf.queryExecution().optimizedPlan().toString()
     assert "199903" in plan and "199710" in plan  # read row by row
+
+
+def test_keys_of_a_large_batch_are_not_built_in_the_driver(spark, tmp_path):
+    """Their files look small: the streams' merges ran out of the driver's memory."""
+    from roadrisk.plans.merge import changed_rows
+    path = str(tmp_path / "rows")
+    spark.range(300_000).selectExpr("id AS OBJECTID", "'BUS' AS CLASE", "cast(id % 12 AS int) AS part_month").write.parquet(path, compression="zstd")
+    rows = spark.read.parquet(path)
+    found = changed_rows(rows, rows, "OBJECTID")
+    assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 0
+
+
+def test_a_batch_without_rows_is_not_merged(spark, tmp_path, monkeypatch):
+    from roadrisk.functions.cleaning import CLEANERS
+    from roadrisk.plans.load import with_accident_month, write_store
+    from roadrisk.schemas import ALL_TABLES
+    from roadrisk.sources.files import land_pages
+    from roadrisk.streaming import waiting
+    store, landing, work = (str(tmp_path / x) for x in ("store", "landing", "work"))
+    acc = CLEANERS["siniestros"](raw(spark, "siniestros", [accident("A0", JAN, 1)]))
+    kids = {c: raw(spark, c, [{"OBJECTID": 90, "FORMULARIO": "A0"}]) for c in CHILD_TABLES}
+    write_store({"siniestros": acc, **{c: with_accident_month(CLEANERS[c](k), acc) for c, k in kids.items()}}, store)
+    late = {c: raw(spark, c, [{"OBJECTID": 91, "FORMULARIO": "A1"}]) for c in CHILD_TABLES}
+    merges, merge = [], waiting.merge_batch
+    monkeypatch.setattr(waiting, "merge_batch", lambda s, d, a, k, **kw: (
+        merges.append((s.conf.get("spark.sql.adaptive.enabled"), sum(x.count() for x in k.values()))), merge(s, d, a, k, **kw))[1])
+    for layer in ALL_TABLES:
+        land_pages(late[layer] if layer in late else raw(spark, "siniestros", [accident("A2", JAN, 2)]), f"{landing}/{layer}", layer)
+    waiting.run_delivery(spark, landing, store, work)
+    assert merges == [("true", 0)]  # the accident's own batch; the waiting rows found no accident yet
