@@ -8,12 +8,13 @@ pieces (as little-endian 32-bit integers) in a cache of two generations of bound
 
 A plain piece (a space or line break, Latin letters, closing punctuation) is handed to
 the tokenizer's BPE model word by word, which skips most of the library's cost per call;
-any other piece goes through its whole pipeline. Where words lose their space and case, a
-column's different plain pieces are trimmed, lower-cased and encoded as columns, without a
-Python object or cache entry a piece. Which white space and case the model
+any other piece goes through its whole pipeline. Where words can be encoded in bulk, a
+column's different plain pieces are trimmed and encoded as columns, without a Python object
+or cache entry a piece: lower-cased where words lose their space and case, with the space or
+line break before them where they keep it. Which white space and case the model
 gets is found by probing the pipeline, and the short way is off if the probes differ.
 
-New words are encoded in bulk by tiktoken, from the same file's entries: space-led words of
+Words are encoded in bulk by tiktoken, from the same file's entries: space-led words of
 a byte-level BPE as they are, words of a BPE with word ends as one ASCII character a symbol
 (the lower-case Latin letters have few enough, with and without a word end). Its merges go by
 the rank of the joined symbols, the file's by the rank of the pair. Both give the same ids if
@@ -47,12 +48,16 @@ _PLAINS = re.compile(r"([ \n]?)([A-Za-zÀ-ÖØ-öø-ÿ]{1,50})([.,!?;:]{0,10})\x
 _CUT = "\x01"
 #: Texts that Arrow can't cut: they hold the mark, or a cut that would follow white space.
 _ODD = r"\x01|[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}][ \n]"
-#: ``_PLAINS`` for one piece, and the letters of such a piece.
+#: ``_PLAINS`` for one piece, the same with a space or line break before it (words that keep
+#: them are told apart by them), and the word of such a piece.
 _PLAIN_PIECE = r"^[ \n]?[A-Za-zÀ-ÖØ-öø-ÿ]{1,50}[.,!?;:]{0,10}\z"
-_LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]+"
+_LED_PIECE = r"^[ \n][A-Za-zÀ-ÖØ-öø-ÿ]{1,50}[.,!?;:]{0,10}\z"
+_WORD = r"[ \n]?[A-Za-zÀ-ÖØ-öø-ÿ]+"
 _CHUNK = 2 << 20
-#: Where different pieces are encoded in bulk: the more text, the fewer of them.
+#: Where different pieces are encoded in bulk: the more text, the fewer of them, and the
+#: pieces kept are only those that aren't plain.
 _BULK_CHUNK = 4 << 20
+_BULK_CACHE = 50_000
 _PROBES = [" Probe.", "\nÉtude,", "Straße!?", " a", "Ñandú", " ÀÖØÞ;:", "word", "\nUnd."]
 
 
@@ -95,7 +100,7 @@ class Encoder:
         if {e for e, i in vocab.items() if i < base} != single or any(vocab.get(a + b) != base + i for i, (a, b) in enumerate(pairs)):
             return
         if not suffix and self._keep_space:
-            code, pattern = {c: bytes([b]) for b, c in chars.items()}, r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+"
+            code, pattern = {c: bytes([b]) for b, c in chars.items()}, r"\n| ?[A-Za-zÀ-ÖØ-öø-ÿ]+"
         elif suffix and self._lower:
             letters = [chr(c) for c in (*range(97, 123), *range(0xDF, 0x100)) if c != 0xF7]
             inner = sorted({b for x in letters for b in x.encode()})
@@ -133,6 +138,7 @@ class Encoder:
         self._lengths = np.zeros(base + len(pairs), np.int64)
         for e, i in ranks.items():
             self._lengths[i] = len(e)
+        self._limit = min(self._limit, _BULK_CACHE)
 
     def _learn_words(self, words: list[str]) -> None:
         """Ids of plain words that aren't known yet, all encoded as one text."""
@@ -240,11 +246,10 @@ class Encoder:
         """(first row, end row, ids, offsets) of a text column in chunks of bounded text (one
         row at least): the ids of all rows, each row's followed by ``end_id``, and where each
         row's begin (null: the end id alone)."""
-        column, tail = column.cast(pa.large_string()).fill_null(""), end_id.to_bytes(4, "little")
+        tail = end_id.to_bytes(4, "little")
         sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
-        by_column = self._bulk and self._final  # words without their space, one character a symbol
-        for lo, hi in chunks(np.r_[0, np.cumsum(sizes)], _BULK_CHUNK if by_column else _CHUNK):
-            texts = column.slice(lo, hi - lo)
+        for lo, hi in chunks(np.r_[0, np.cumsum(sizes)], _BULK_CHUNK if self._bulk else _CHUNK):
+            texts = column.slice(lo, hi - lo).cast(pa.large_string()).fill_null("")
             odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False)
             easy = pc.if_else(pa.array(odd), "", texts)
             for c in (" ", "\n"):
@@ -252,7 +257,7 @@ class Encoder:
             cut = pc.split_pattern(easy, _CUT)
             pieces = cut.flatten().dictionary_encode()
             at = cut.offsets.to_numpy() - cut.offsets[0].as_py()
-            if by_column:
+            if self._bulk:
                 ids = self._piece_ids(pieces.dictionary).take(pieces.indices)
                 _, ends, data = ids.buffers()
                 at, data = np.frombuffer(ends, np.int64)[at].tolist(), memoryview(data or b"")
@@ -271,10 +276,13 @@ class Encoder:
     def _piece_ids(self, pieces: pa.Array) -> pa.Array:
         """Ids of different pieces as a column of bytes: the words of all plain pieces are encoded
         as one text, without a Python object a piece; other pieces are looked up one by one."""
-        plain = pc.match_substring_regex(pieces, _PLAIN_PIECE)
-        led = pc.ascii_ltrim(pieces.filter(plain), " \n")
-        words = pc.utf8_lower(pc.ascii_rtrim(led, ".,!?;:")).dictionary_encode()
-        stops = pc.replace_substring_regex(led, _LETTERS, "").dictionary_encode()
+        plain = pc.match_substring_regex(pieces, _LED_PIECE if self._keep_space else _PLAIN_PIECE)
+        led = pieces.filter(plain)
+        if not self._keep_space:
+            led = pc.ascii_ltrim(led, " \n")
+        words = pc.ascii_rtrim(led, ".,!?;:")
+        words = (pc.utf8_lower(words) if self._lower else words).dictionary_encode()
+        stops = pc.replace_substring_regex(led, _WORD, "").dictionary_encode()
         stop_ids = pa.array([self._bpe(x) if x else b"" for x in stops.dictionary.to_pylist()], pa.large_binary())
         easy = pc.binary_join_element_wise(self._word_ids(words.dictionary).take(words.indices), stop_ids.take(stops.indices),
                                            pa.scalar(b"", pa.large_binary()))
@@ -284,14 +292,16 @@ class Encoder:
         return pa.concat_arrays([easy, hard]).take(pa.array(place))
 
     def _word_ids(self, words: pa.Array) -> pa.Array:
-        """Ids of different lower-case plain words as a column of bytes."""
+        """Ids of different plain words, as the model gets them, as a column of bytes."""
         if not len(words):
             return pa.array([], pa.large_binary())
         _, ends, data = words.buffers()
         ends = np.frombuffer(ends, np.int64)[words.offset:words.offset + len(words) + 1]
         data, ends = np.frombuffer(data, np.uint8)[ends[0]:ends[-1]], ends[1:] - ends[0]
-        spelt = self._inner_bytes[data]
-        spelt[ends - 1] = self._final_bytes[data[ends - 1]]
+        spelt = data
+        if self._final:
+            spelt = self._inner_bytes[data]
+            spelt[ends - 1] = self._final_bytes[data[ends - 1]]
         ids = np.asarray(self._bulk.encode_ordinary(spelt.tobytes().decode()), "<u4")
         at = np.r_[0, np.searchsorted(np.cumsum(self._lengths[ids]), ends) + 1] * 4
         return pa.Array.from_buffers(pa.large_binary(), len(words), [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(ids)])

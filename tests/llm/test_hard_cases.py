@@ -309,3 +309,22 @@ def test_plain_pieces_of_a_column_are_encoded_without_a_look_up_each():
     assert len(enc._new) < len(words)
     (_, _, ids, _), = enc.columns(pa.array([None, ""], pa.string()), 2)
     assert ids.tolist() == [2, 2]
+
+
+def test_plain_pieces_that_keep_their_space_are_encoded_without_a_look_up_each():
+    from tokenizers import Tokenizer
+    whole, enc = Tokenizer.from_file(BYTE), bpe.Encoder(BYTE)
+    asked, look_up = [], enc._look_up
+    enc._look_up = lambda pieces: asked.extend(pieces) or look_up(pieces)
+    words = [f"{led}Gl{a}{b}ork{c}" for led in " \n" for a in "aeiouß" for b in "bdfgÉñ" for c in ("", "t", "Ü", ".", "?!", "...,;")]
+    texts = ["first" + "".join(words), None, "", "one\nTwo. three", "x" * 51 + " " + "é" * 50 + "!" * 11, " " + "x" * 51, "\n" + "É" * 50 + ";" * 10,
+             "ÀÖØÞ àöøþÿ! don't 3rd ÷ × İstanbul ΣΑΣ Ǆ", "two  spaces\n\nodd", "mark \x01 in it", " lead", "\nled", "trail ", " a.b", ".", "\n", " .", words[0]]
+    for lo in (0, 3):  # a slice too
+        column = pa.array(texts)[lo:]
+        (_, _, ids, offsets), = enc.columns(column, 2)
+        want = [[*whole.encode(t or "", add_special_tokens=False).ids, 2] for t in column.to_pylist()]
+        assert [ids[a:z].tolist() for a, z in zip(offsets, offsets[1:])] == want
+    assert not set(asked) & set(words)
+    assert len(enc._new) + len(enc._words) < len(words)
+    (_, _, ids, _), = enc.columns(pa.array([None, ""], pa.string()), 2)
+    assert ids.tolist() == [2, 2]
