@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roadrisk.llm.text import batch_words, utf8, words
+from roadrisk.llm.text import batch_words, releasing, utf8, words
 from roadrisk.session import materialise
 
 WINDOW = 13
@@ -57,7 +57,7 @@ def item_windows(benchmark: DataFrame, item_col: str = "item_id", text_col: str
                                       names=["item_id", "window"])
 
     return (benchmark.select(F.col(item_col).cast("string").alias("item_id"), F.col(text_col).alias("text"))
-            .mapInArrow(run, "item_id string, window string").distinct())
+            .mapInArrow(releasing(run), "item_id string, window string").distinct())
 
 
 class _Block:
@@ -131,7 +131,7 @@ def _document_counts(docs: DataFrame, sets, text_col: str) -> dict[int, int]:
                     value, n = np.unique(pair[1], return_counts=True)
                     yield pa.record_batch([pa.array(value.view(np.int64)), pa.array(n)], names=["h", "n"])
 
-    counted = docs.select(text_col).mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    counted = docs.select(text_col).mapInArrow(releasing(run), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
     return {r["h"]: r["n"] for r in counted.toLocalIterator()}
 
 
@@ -235,7 +235,7 @@ def _join(docs: DataFrame, block_b, schema: T.StructType) -> DataFrame:
                     b.column(2).slice(lo, n), pa.array(np.diff(w.first).astype(np.int64)), pa.array(spans, pa.list_(pa.int64())),
                     pa.array(items, pa.list_(pa.string()))], names=schema.fieldNames())
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(releasing(run), schema)
 
 
 def _merge(a: np.ndarray, b: np.ndarray) -> list[int]:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roadrisk.llm.text import Words, batch_words, mix
+from roadrisk.llm.text import Words, batch_words, mix, releasing
 from roadrisk.session import materialise
 
 SHINGLE = 5
@@ -139,7 +139,7 @@ def profiles(docs: DataFrame, *, id_col: str, text_col: str, threshold: float, r
                     lists(r2, p2, n), lists(r3, q3, n), lists(r3, p3, n)], names=schema.fieldNames())
 
     return (docs.select(F.col(id_col), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_key"),
-                        F.col(text_col).alias("__text")).mapInArrow(run, schema))
+                        F.col(text_col).alias("__text")).mapInArrow(releasing(run), schema))
 
 
 def _buckets(sets: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
@@ -210,7 +210,7 @@ def candidates(buckets: DataFrame, sets: DataFrame, *, threshold: float, limit:
         if len(names) > 1:
             yield _pairs_batch(set(group()))
 
-    return rows.mapInArrow(run, "a string, b string").distinct()
+    return rows.mapInArrow(releasing(run), "a string, b string").distinct()
 
 
 def _pairs_batch(found: set[tuple[str, str]]) -> pa.RecordBatch:
@@ -232,7 +232,7 @@ def _exact(nodes: DataFrame, sets: DataFrame, docs: DataFrame, *, text_col: str,
     keys = sets.select("node", "text_key").join(nodes, "node", "left_semi")
     texts = docs.select(F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_key"), F.col(text_col).alias("text"))
     return materialise(texts.join(keys, "text_key").groupBy("node").agg(F.first("text").alias("text"))
-                       .mapInArrow(shingles, "node string, h array<long>"), name)
+                       .mapInArrow(releasing(shingles), "node string, h array<long>"), name)
 
 
 def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, *, text_col: str, threshold: float) -> DataFrame:
@@ -255,7 +255,7 @@ def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, *, text_col: st
             keep = pa.array(sim >= threshold - 1e-12)
             yield pa.record_batch([b.column(0), b.column(1), pa.array(sim)], names=["a", "b", "similarity"]).filter(keep)
 
-    return both.select("a", "b", "ha", "hb").mapInArrow(compare, "a string, b string, similarity double")
+    return both.select("a", "b", "ha", "hb").mapInArrow(releasing(compare), "a string, b string, similarity double")
 
 
 def _shared(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
@@ -353,7 +353,7 @@ def group_links(groups: DataFrame, sets: DataFrame, docs: DataFrame, *, text_col
         if key:
             yield links(key, *got)
 
-    return rows.mapInArrow(run, "a string, b string, n long")
+    return rows.mapInArrow(releasing(run), "a string, b string, n long")
 
 
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:

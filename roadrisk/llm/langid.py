@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roadrisk.llm.text import chunks, mix, utf8
+from roadrisk.llm.text import chunks, mix, releasing, utf8
 from roadrisk.session import materialise
 
 SIZES = (2, 3, 4)
@@ -151,7 +151,7 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
             yield pa.record_batch([pa.array(np.full(len(bins), x, np.int32)), pa.array(bins.astype(np.int32)),
                                    pa.array(c[bins])], names=["lang", "bin", "n"])
 
-    found = (sample.select("lang", "text").mapInArrow(count, "lang int, bin int, n long")
+    found = (sample.select("lang", "text").mapInArrow(releasing(count), "lang int, bin int, n long")
              .groupBy("lang", "bin").agg(F.sum("n").alias("n")).toArrow())  # languages x bins at most
     counts = np.zeros((len(languages), N_BINS))
     np.add.at(counts, (found["lang"].to_numpy(), found["bin"].to_numpy()), found["n"].to_numpy())
@@ -179,7 +179,7 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
                                       names=["lang", "ok"])
 
     if code.shape[1]:
-        hits = (sample.select("lang", "text").mapInArrow(right, "lang int, ok array<double>")
+        hits = (sample.select("lang", "text").mapInArrow(releasing(right), "lang int, ok array<double>")
                 .select("lang", F.posexplode("ok").alias("bit", "ok"))
                 .groupBy("lang", "bit").agg(F.avg("ok").alias("ok")).collect())
         for r in hits:
@@ -221,7 +221,7 @@ def annotate(docs: DataFrame, model: Model | None, *, text_col: str = "text", am
             yield pa.record_batch([*b.columns, pa.array(names[best], pa.string()), pa.array(score),
                                    pa.array(lead < ambiguous_lead)], names=schema.fieldNames())
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(releasing(run), schema)
 
 
 def identify(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",

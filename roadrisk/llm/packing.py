@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from roadrisk.llm.bpe import encoder
+from roadrisk.llm.text import releasing
 from roadrisk.session import materialise
 
 CAPACITY = 1024
@@ -62,7 +63,7 @@ def pieces(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col:
                     out.append(pa.ListArray.from_arrays(pa.array(np.r_[at, offsets[-1]].astype(np.int32)), pa.array(ids.view("<i4"))))
                 yield pa.record_batch(out, names=[f.name for f in fields])
 
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, T.StructType(fields))
+    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(releasing(run), T.StructType(fields))
 
 
 def fit_patterns(hist: np.ndarray, capacity: int, steps: int = 300) -> tuple[np.ndarray, np.ndarray]:
@@ -196,7 +197,7 @@ def place(parts: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id") ->
             yield pa.record_batch([*b.columns[:-1], pa.array(seq_[k] + rank - first_[k]), pa.array(offset_[k])],
                                   names=schema.fieldNames())
 
-    return ranked.mapInArrow(run, schema)
+    return ranked.mapInArrow(releasing(run), schema)
 
 
 def pack(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text",
