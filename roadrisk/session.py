@@ -12,6 +12,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -94,3 +96,22 @@ def drop_scratch(spark: SparkSession, path: str) -> None:
     if not path.startswith(os.path.join(checkpoint_root(spark), "roadrisk") + "/"):
         raise ValueError(f"not a scratch path: {path}")
     drop_path(spark, path)
+
+
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """In this block, the shuffle files of a job are deleted when it ends. Else they stay until the
+    driver collects its garbage, which a load of many jobs doesn't make it do. A result that is
+    used again there must be staged: its shuffles would be run again."""
+    before = spark.conf.get(_DROP_SHUFFLES, None)
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_DROP_SHUFFLES)
+        else:
+            spark.conf.set(_DROP_SHUFFLES, before)

@@ -27,12 +27,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roadrisk.plans.commit import any_size
+from roadrisk.plans.commit import OWNER, any_size
+from roadrisk.plans.keys import KeyMarks, may_match
 from roadrisk.plans.load import read_store
 from roadrisk.plans.merge import merge_batch
 from roadrisk.schemas import ALL_TABLES, BAD_FIELD, CHILD_TABLES, ERROR_FIELD, GEOMETRY_LAYERS, RAW_ATTRIBUTES, checked_page_schema
-from roadrisk.session import drop_scratch, scratch_path
-from roadrisk.sources.files import checked_pages
+from roadrisk.session import drop_scratch, scratch_path, shuffles_dropped
+from roadrisk.sources.files import checked_pages, stage_read, stage_write
 
 PATIENCE = "40 days"
 BAD_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("layer", "file", "reason", "detail")])
@@ -70,6 +71,25 @@ def _of(batch: DataFrame, layer: str) -> DataFrame:
     return batch.where(F.col(layer).isNotNull()).select(f"{layer}.*", "landed")
 
 
+def _split(rows: DataFrame, unknown: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Child rows of unknown accidents (without an accident's id among them), with all layers in one
+    frame, and the others by layer. Only rows that may be of unknown accidents are shuffled."""
+    named = unknown.select(F.col(OWNER).alias("_owner"))
+    none, marks = unknown.isEmpty(), KeyMarks(unknown, OWNER)
+
+    def parted(df: DataFrame, how: str) -> DataFrame:
+        return df.where("_may").join(any_size(named), F.col(OWNER).eqNullSafe(F.col("_owner")), how).drop("_may")
+
+    owner = F.coalesce(*(F.col(f"{c}.{OWNER}") for c in CHILD_TABLES))
+    children = rows.where(reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in CHILD_TABLES])).withColumn(OWNER, owner)
+    children = children.select(*WAITING_SCHEMA.fieldNames())
+    if none:
+        return children.limit(0), {c: _of(rows, c) for c in CHILD_TABLES}
+    marked = {c: marks.mark(_of(rows, c), "_may") for c in CHILD_TABLES}
+    here = {c: df.where("NOT _may").drop("_may").unionByName(parted(df, "left_anti")) for c, df in marked.items()}
+    return parted(marks.mark(children, "_may"), "left_semi"), here
+
+
 def _numbered(work: str, what: str, epoch: int) -> str:
     return f"{work}/{what}/batch={epoch}"
 
@@ -81,18 +101,23 @@ def start_intake(spark: SparkSession, landing: str, store_dir: str, work: str, f
                   [_layer_rows(spark, landing, layer, files_per_trigger) for layer in ALL_TABLES])
 
     def body(batch: DataFrame, epoch: int) -> None:
-        s, path = batch.sparkSession, scratch_path(spark, "intake")
-        batch.write.parquet(path)  # the one pass over the pages
-        rows = s.read.schema(batch.schema).parquet(path)
+        s = batch.sparkSession
+        with shuffles_dropped(s):
+            take(s, batch, epoch)
+
+    def take(s: SparkSession, batch: DataFrame, epoch: int) -> None:
+        path = scratch_path(spark, "intake")
+        stage_write(batch, path, "rows")  # the one pass over the pages
+        rows = s.read.schema(batch.schema).parquet(f"{path}/rows")
         accidents = _of(rows, "siniestros")
-        known = read_store(s, store_dir)["siniestros"].select("FORMULARIO").union(accidents.select("FORMULARIO")).distinct()
-        owner = F.coalesce(*(F.col(f"{c}.FORMULARIO") for c in CHILD_TABLES))
-        children = rows.where(reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in CHILD_TABLES])).withColumn("FORMULARIO", owner)
-        waits = children.join(any_size(known), "FORMULARIO", "left_anti").select(*WAITING_SCHEMA.fieldNames())
+        known = read_store(s, store_dir)["siniestros"].select(OWNER).union(accidents.select(OWNER))
+        owners = reduce(DataFrame.union, [_of(rows, c).select(OWNER) for c in CHILD_TABLES]).distinct()
+        stage_write(owners.join(any_size(known), OWNER, "left_anti"), path, "unknown")
+        unknown = stage_read(s, path, "unknown")
+        waits, here = _split(rows, unknown)
         waits.write.mode("overwrite").parquet(_numbered(work, "waiting", epoch))
         rows.where("bad IS NOT NULL").select("bad.*").write.mode("overwrite").parquet(_numbered(work, "bad", epoch))
-        here = children.join(any_size(known), "FORMULARIO", "left_semi")
-        merge_batch(s, store_dir, accidents, {c: _of(here, c) for c in CHILD_TABLES}, version="landed")
+        merge_batch(s, store_dir, accidents, here, version="landed")
         # only now that the accidents are stored may the rows that wait for them go on
         keys = rows.where("siniestros IS NOT NULL").groupBy("siniestros.FORMULARIO").agg(F.max("landed").alias("landed"))
         keys.write.mode("overwrite").parquet(_numbered(work, "keys", epoch))
@@ -116,18 +141,24 @@ def start_waiting(spark: SparkSession, store_dir: str, work: str, patience: str
 
     def body(batch: DataFrame, epoch: int) -> None:
         path = scratch_path(spark, "waited")
-        batch.write.parquet(path)
+        stage_write(batch, path, "rows")
         # in the caller's session: that of a stream with state has no adaptive execution, so every join
         # of the merge would have all its shuffle partitions, however few rows they hold
-        rows = spark.read.schema(batch.schema).parquet(path)
-        known = read_store(spark, store_dir)["siniestros"].select("FORMULARIO")
-        vain = rows.where("k_formulario IS NULL").join(any_size(known), "FORMULARIO", "left_anti")
-        vain.select(*WAITING_SCHEMA.fieldNames()).write.mode("overwrite").parquet(_numbered(work, "unmatched", epoch))
-        if not rows.isEmpty():  # a batch that only moves the watermark changes nothing
-            none = spark.createDataFrame([], T.StructType([*row_schema("siniestros"), T.StructField("landed", T.TimestampType())]))
-            merge_batch(spark, store_dir, none, {c: _of(rows, c) for c in CHILD_TABLES}, version="landed")
+        with shuffles_dropped(spark):
+            merge_waited(spark.read.schema(batch.schema).parquet(f"{path}/rows"), epoch)
         drop_scratch(spark, path)
 
+    def merge_waited(rows: DataFrame, epoch: int) -> None:
+        none = rows.isEmpty()  # a batch that only moves the watermark changes nothing
+        vain = rows.where("k_formulario IS NULL")
+        if not none:
+            known = may_match(read_store(spark, store_dir)["siniestros"].select(OWNER), vain.select(OWNER))
+            vain = vain.join(any_size(known), OWNER, "left_anti")
+        vain.select(*WAITING_SCHEMA.fieldNames()).write.mode("overwrite").parquet(_numbered(work, "unmatched", epoch))
+        if not none:
+            no_accidents = spark.createDataFrame([], T.StructType([*row_schema("siniestros"), T.StructField("landed", T.TimestampType())]))
+            merge_batch(spark, store_dir, no_accidents, {c: _of(rows, c) for c in CHILD_TABLES}, version="landed")
+
     return (joined.writeStream.foreachBatch(body).option("checkpointLocation", f"{work}/checkpoint-waiting")
             .trigger(availableNow=True).start())
 

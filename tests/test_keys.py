@@ -70,3 +70,40 @@ def test_rows_that_nothing_concerns_are_copied(spark, tmp_path, monkeypatch, man
     assert sorted(map(str, have.collect())) == want
     assert counts == {"causas": (going, keep.where("FORMULARIO IN ('A11', 'A7', 'A0')").count() + 2)}
     assert {f.name for f in month(5).iterdir()} == untouched and not month("__HIVE_DEFAULT_PARTITION__").exists()  # all of A7's went
+
+
+def shuffles(spark):
+    found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses()
+    return set(found.keySet().mkString(",").split(","))
+
+
+def test_shuffle_files_go_with_their_job(spark, tmp_path):
+    """A delivery's shuffles stayed on disk until the driver happened to collect its garbage."""
+    from roadrisk.session import shuffles_dropped
+    held = [spark.range(100).groupBy((F.col("id") % 7).alias("k")).count() for _ in range(2)]
+    before = shuffles(spark)
+    with shuffles_dropped(spark):
+        rows = spark.range(100).groupBy((F.col("id") % 5).alias("k")).count()
+        rows.write.parquet(str(tmp_path / "rows"))
+        assert rows.count() == 5 and shuffles(spark) <= before
+    assert [len(df.collect()) for df in held] == [7, 7] and shuffles(spark) - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_rows_of_known_accidents_are_not_shuffled(spark):
+    """Of a delivery's child rows, those of unknown accidents (and without one) wait, the others are left where they are."""
+    from roadrisk.streaming.waiting import WAITING_SCHEMA, _split, row_schema
+    from roadrisk.schemas import ALL_TABLES, CHILD_TABLES
+    kinds = {n: row_schema(n).simpleString() for n in ALL_TABLES}
+    at = "TIMESTAMP '2000-01-01 00:00:00'"
+    rows = [spark.range(60).selectExpr(f"{at} AS landed", *[
+        f"from_json(to_json(named_struct('OBJECTID', id, 'FORMULARIO', IF(id % 20 = 3, NULL, concat('A', id % 30)))), '{kind}') AS {n}" if n == layer
+        else f"CAST(NULL AS {kind}) AS {n}" for n, kind in kinds.items()]) for layer in CHILD_TABLES]
+    rows = rows[0].union(rows[1]).union(rows[2]).union(rows[3]).union(rows[4])
+    unknown = spark.createDataFrame([("A5",), ("A29",), (None,)], "FORMULARIO string")
+    waits, here = _split(rows, unknown)
+    assert waits.columns == WAITING_SCHEMA.fieldNames() and waits.count() == 5 * (4 + 3)
+    assert {r[0] for r in waits.select("FORMULARIO").distinct().collect()} == {"A5", "A29", None}
+    assert {c: df.count() for c, df in here.items()} == dict.fromkeys(CHILD_TABLES, 60 - 7)
+    waits, here = _split(rows, unknown.limit(0))
+    assert waits.isEmpty() and all("Exchange" not in plan(df) and df.count() == 60 for df in here.values())
