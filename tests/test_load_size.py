@@ -83,3 +83,33 @@ def test_pages_of_source_rows(spark, tables001, tmp_path):
         land_pages(t.source(c), str(tmp_path / c), c, layer_of=t.layer_of)
         have, want = read_feature_json(spark, str(tmp_path / c), c), t.raw(c)
         assert want.exceptAll(have).isEmpty() and have.exceptAll(want).isEmpty(), c
+
+
+def test_a_stored_table_is_summed_once_for_many_batches(spark, tables001, tmp_path, monkeypatch):
+    """Each micro-batch of a late layer read and summed the whole stored table anew."""
+    from roadrisk.plans import load
+    from roadrisk.sources.files import as_pages, land_pages
+    from roadrisk.streaming import monthly
+    t, store, landing = tables001, str(tmp_path / "store"), str(tmp_path / "landing")
+    load.write_store({"siniestros": t.siniestros, **{c: load.with_accident_month(t[c].where("OBJECTID < 800") if c == "causas" else t[c], t.siniestros) for c in CHILD_TABLES}}, store)
+    early = t.raw("causas").where("OBJECTID < 8000")
+    load.append_late_children(spark, store, {"causas": early})
+    land_pages(t.raw("siniestros").limit(0), f"{landing}/siniestros", "siniestros")
+    for c in CHILD_TABLES:
+        land_pages(t.raw(c).limit(0), f"{landing}/{c}", c)
+    # four files: two that the store has, two with rows that it lacks, one of these twice
+    for lo, hi in ((0, 4_000), (4_000, 8_000), (8_000, 16_000), (8_000, 16_000), (16_000, 1 << 40)):
+        rows = t.raw("causas").where(f"OBJECTID >= {lo} AND OBJECTID < {hi}")
+        as_pages(rows, "causas").coalesce(1).select("features").write.mode("append").json(f"{landing}/causas")
+    summed, compared = [], []
+    stage, differing = monthly.stage_stored_sums, load.stage_differing
+    monkeypatch.setattr(monthly, "stage_stored_sums", lambda *a: (summed.append(a[2]), stage(*a))[1])
+    monkeypatch.setattr(load, "stage_differing", lambda *a: (compared.append((a[2], a[5] is not None)), differing(*a))[1])
+    kids = {c: f"{landing}/{c}" for c in CHILD_TABLES}
+    monthly.run_monthly_streams(spark, f"{landing}/siniestros", kids, store, str(tmp_path / "ckpt"), files_per_trigger=1)
+    want, have = load.with_accident_month(t["causas"], t.siniestros), load.read_store(spark, store, partitions=True)["causas"]
+    have = have.select(*want.columns)
+    assert want.exceptAll(have).isEmpty() and have.exceptAll(want).isEmpty()
+    assert summed == ["causas"]
+    batches = [x for c, x in compared if c == "causas"]
+    assert len(batches) >= 5 and batches == [False] + [True] * (len(batches) - 1)
